@@ -111,16 +111,15 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
         encoder, end = tokens.encoder(tokenizer), tokens.id_bytes(end_id)
         part, seen = TaskContext.get().partitionId(), {}
-        kind = "<u2" if len(encoder.starts) <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        width = encoder.width(end_id)
         for batch in batches:
             local, sizes, data = [], [], []
             names = batch.column(1).to_pylist()
             for queue, ids in zip(names, encoder.encode(batch.column(2).to_pylist()), strict=True):
-                ids = np.frombuffer(ids + end, dtype="<u4")
                 local.append(seen.get(queue, 0))
-                sizes.append(len(ids))
-                seen[queue] = local[-1] + len(ids)
-                data.append(ids.astype(kind).tobytes())
+                sizes.append(len(ids) // 4 + 1)
+                seen[queue] = local[-1] + sizes[-1]
+                data.append(tokens.packed(ids + end, width))
             yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(names), pa.int64()), "queue": batch.column(1), "doc_id": batch.column(0), "local": pa.array(local, pa.int64()), "n": pa.array(sizes, pa.int64()), "ids": pa.array(data, pa.binary())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("queue"), "text")

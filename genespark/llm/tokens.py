@@ -1,9 +1,10 @@
 """Tokenizing whole texts with the public ``tokenizers`` files, fast and exactly.
 
 The library encodes about 3 MB of text a second.  Words repeat, so a text is cut
-where the tokenizer's own pre-tokenizer must cut as well, and each distinct piece
-is encoded once per Python worker and kept as the bytes of its ids.  Where such a
-cut isn't certain, the whole text goes to the tokenizer.
+into the words of the tokenizer's own pre-tokenizer, and each distinct word is
+encoded once per Python worker and kept as the bytes of its ids.  The cut is done
+here only for texts of characters whose classes are beyond doubt (up to U+017F,
+with a few exceptions); any other text goes to the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -16,18 +17,36 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Pieces kept by a worker, the longest that is kept, and characters handled at once.
-CACHE_PIECES = 800_000
-CACHE_LENGTH = 64
+#: Words kept by a worker, the longest that is kept, and characters handled at once.
+CACHE_WORDS = 400_000
+CACHE_LENGTH = 48
 CHUNK = 1 << 20
+#: Characters on whose class regular expressions of different libraries may differ.
+ODD = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe\u0130]|[^\x00-\u017f]")
+ODD_LATIN = bytes([*range(0x1C, 0x20), 0x85, 0xA0, 0xB2, 0xB3, 0xB9, 0xBC, 0xBD, 0xBE])
+#: The letters among all other characters, and the pre-tokenizers' patterns for them.
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+SPACE = re.compile(rf" [{LETTERS}]+|[{LETTERS}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+WORDS = re.compile(rf"[{LETTERS}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\s{LETTERS}0-9]+")
+#: Words that are encoded as one text.
+JOINED = 1000
+
+
+def is_odd(text: str) -> bool:
+    """Whether a character stands in the text whose class is in doubt."""
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return ODD.search(text) is not None
+    return len(data.translate(None, ODD_LATIN)) != len(data)
 
 
 class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit integers in ``bytes``.
 
-    Two kinds of tokenizer files are cut: byte-level ones whose pattern binds one
-    space to the following word ("space"), and ones that drop white space
-    ("words").  Any other kind gets whole texts.
+    Two kinds of tokenizer files are known: byte-level ones whose pattern binds one
+    space to the following word ("space"), and lower-casing ones that drop white
+    space ("words").  Any other kind gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -36,23 +55,29 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # ours does that
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.cut = cut_of(spec)
         self.cache = Cache()
         vocab = self.tokenizer.get_vocab()
-        self.starts = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.size = max(vocab.values()) + 1
+        # Where a word begins ("space") or ends ("words"), told by the token.
+        self.marks = np.zeros(self.size, dtype=bool)
         if self.cut == "space":
-            self.starts[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
+            self.marks[[i for token, i in vocab.items() if token.startswith("\u0120")]] = True
         elif self.cut == "words":
-            self.gap = self.ids("\x00")
-            if len(self.gap) != 1:
-                self.cut = "whole"
+            self.marks[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
 
     def ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(found[0].ids, dtype="<u4")
 
+    def width(self, end_id: int) -> int:
+        """Bytes that hold any id."""
+        return 2 if max(self.size, end_id + 1) <= 1 << 16 else 4
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; None counts as an empty text."""
         out: list[bytes] = []
@@ -66,79 +91,60 @@ class Encoder:
         return out + self._chunk(chunk)
 
     def _chunk(self, texts: list[str]) -> list[bytes]:
-        if self.cut == "whole":
-            return [self.ids(t).tobytes() for t in texts]
-        split = [t.split(" ") for t in texts] if self.cut == "space" else [ascii_words(t) for t in texts]
-        heads = [p.pop(0) if self.cut == "space" else None for p in split]
-        # The first space may belong to a run of white space.
-        whole = {k for k, h in enumerate(heads) if h is not None and (not h or h[-1].isspace())}
-        found = [list(map(self.cache.__getitem__, pieces)) for pieces in split]
-        new = {p for p in self.cache.pending if self._sure(p)}
+        find = SPACE.findall if self.cut == "space" else WORDS.findall
+        split: list[list[str] | None] = []
+        for text in texts:
+            if self.cut == "whole" or is_odd(text):
+                split.append(None)
+            else:
+                split.append(find(text if self.cut == "space" else text.lower()))
+        found = [words and list(map(self.cache.__getitem__, words)) for words in split]
+        learned = self._learn(list(self.cache.pending))
         self.cache.pending.clear()
-        learned = self._learn(list(new))
         out = []
-        for k, (text, head, pieces, got) in enumerate(zip(texts, heads, split, found, strict=True)):
-            try:
-                at = -1
-                while True:
-                    try:
-                        at = got.index(None, at + 1)
-                    except ValueError:
-                        break
-                    got[at] = learned[pieces[at]]
-            except KeyError:
-                whole.add(k)
-            if k in whole:
+        for text, words, got in zip(texts, split, found, strict=True):
+            if words is None:
                 out.append(self.ids(text).tobytes())
-            else:
-                out.append(b"".join(got) if head is None else self.ids(head).tobytes() + b"".join(got))
-        if len(self.cache) < CACHE_PIECES:
-            self.cache.update((p, i) for p, i in learned.items() if len(p) <= CACHE_LENGTH)
+                continue
+            at = -1
+            while True:
+                try:
+                    at = got.index(None, at + 1)
+                except ValueError:
+                    break
+                got[at] = learned[words[at]]
+            out.append(b"".join(got))
+        if len(self.cache) < CACHE_WORDS:
+            self.cache.update((w, i) for w, i in learned.items() if len(w) <= CACHE_LENGTH)
         return out
 
-    def _sure(self, piece: str) -> bool:
-        """Whether a cut around this piece is certain."""
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Encode words; those of letters go many in a text, in which their bounds are found again."""
+        out: dict[str, bytes] = {}
         if self.cut == "space":
-            return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
-        return "\x00" not in piece
-
-    def _learn(self, todo: list[str]) -> dict[str, bytes]:
-        """Encode many pieces in one text and find where each begins again."""
-        if not todo:
-            return {}
-        if self.cut == "space":
-            ids = self.ids("".join(" " + p for p in todo))
-            marks = np.flatnonzero(self.starts[ids])
-            if len(marks) != len(todo):
-                return {p: self.ids(" " + p).tobytes() for p in todo}
-            ends = np.append(marks[1:], len(ids))
+            plain, gap = [w for w in words if w[0] == " " and w[1:].isalpha()], ""
         else:
-            ids = self.ids(" \x00 ".join(todo))
-            ends = np.append(np.flatnonzero(ids == self.gap[0]), len(ids))
-            if len(ends) != len(todo):
-                return {p: self.ids(p).tobytes() for p in todo}
-            marks = np.append(0, ends[:-1] + 1)
-        data = ids.tobytes()
-        return {p: data[a:b] for p, a, b in zip(todo, (4 * marks).tolist(), (4 * ends).tolist(), strict=True)}
+            plain, gap = [w for w in words if w.isalpha()], " "
+        groups = [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast([gap.join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.asarray(found.ids, dtype="<u4")
+            marks = np.flatnonzero(self.marks[ids])
+            if len(marks) == len(group):
+                cuts = [*(4 * marks).tolist(), 4 * len(ids)] if self.cut == "space" else [0, *(4 * marks + 4).tolist()]
+                data = ids.tobytes()
+                out.update(zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        out.update((w, self.ids(w).tobytes()) for w in words if w not in out)
+        return out
 
 
 class Cache(dict):
-    """Ids of pieces; a missing piece gives None and is noted in ``pending``."""
+    """Ids of words; a missing word gives None and is noted in ``pending``."""
 
     def __init__(self):
         self.pending: set[str] = set()
 
-    def __missing__(self, piece: str) -> None:
-        self.pending.add(piece)
-
-
-def ascii_words(text: str) -> list[str]:
-    """Words between ASCII white space; str.split() would also cut at other characters."""
-    return text.split() if text.isascii() and not ODD.search(text) else [w.decode("utf-8") for w in text.encode("utf-8").split()]
-
-
-#: Control characters at which str.split() cuts and tokenizers do not.
-ODD = re.compile("[\x1c-\x1f]")
+    def __missing__(self, word: str) -> None:
+        self.pending.add(word)
 
 
 def cut_of(spec: dict) -> str:
@@ -161,3 +167,13 @@ def encoder(path: str) -> Encoder:
 
 def id_bytes(token_id: int) -> bytes:
     return struct.pack("<I", token_id)
+
+
+def packed(ids: bytes, width: int) -> bytes:
+    """32-bit ids as ids of ``width`` bytes."""
+    return ids if width == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """``n`` ids, 16 or 32 bits wide, as 32-bit ids."""
+    return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u2").astype("<u4")
