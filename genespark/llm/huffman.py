@@ -15,7 +15,6 @@ empty table gives no file and no row.
 
 from __future__ import annotations
 
-import io
 import json
 import struct
 import zlib
@@ -121,12 +120,11 @@ def write_block(out, book: Codebook, ids: np.ndarray, docs: list[tuple[int, int]
     out.write(payload)
 
 
-def write_file(out, book: Codebook, rows: Iterator[tuple[int | None, bytes]]) -> tuple[int, int]:
+def write_file(out, book: Codebook, rows: Iterator[tuple[int | None, np.ndarray]]) -> tuple[int, int]:
     """Write (doc_id, ids) in the given order; returns documents and ids written."""
     out.write(MAGIC + struct.pack("<IQ", book.check(), 0))
     parts, docs, held, n_docs, n_ids = [], [], 0, 0, 0
-    for doc_id, data in rows:
-        ids = np.frombuffer(data, dtype="<u4")
+    for doc_id, ids in rows:
         n_docs, n_ids = n_docs + 1, n_ids + len(ids)
         while held + len(ids) > BLOCK:
             parts.append(ids[: BLOCK - held])
@@ -162,52 +160,64 @@ def read_file(source, book: Codebook) -> Iterator[tuple[int | None, list[np.ndar
             held.append(ids[at:])
 
 
-def count_ids(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") -> np.ndarray:
-    """Counts of all ids over all documents; what reaches the driver is bounded by the vocabulary."""
+def count_ids(staged: DataFrame, size: int) -> np.ndarray:
+    """Counts of all ids of staged documents; what reaches the driver is bounded by the vocabulary."""
 
     def count(batches):
-        encoder = tokens.encoder(tokenizer)
-        total = np.zeros(encoder.tokenizer.get_vocab_size() + 1, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += np.bincount(np.frombuffer(encoder.encode([text])[0], dtype="<u4"), minlength=len(total)) if text and len(text) > 1 << 16 else 0
-            short = [t for t in batch.column(0).to_pylist() if t and len(t) <= 1 << 16]
-            total += np.bincount(np.frombuffer(b"".join(encoder.encode(short)), dtype="<u4"), minlength=len(total))
-            total[end_id] += batch.num_rows
+            for data, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total += np.bincount(tokens.unpacked(data, n), minlength=size) if n > size else 0
+            short = [tokens.unpacked(d, n) for d, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if n <= size]
+            if short:
+                total += np.bincount(np.concatenate(short), minlength=size)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 0, dtype=np.int64)
+    rows = staged.select("ids", "n").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(size, dtype=np.int64)
     counts[rows["id"].to_numpy()] = rows["n"].to_numpy()
     return counts
 
 
+def stage_ids(docs: DataFrame, tokenizer: str, end_id: int) -> tuple[DataFrame, str]:
+    """Encode all texts once: a staged table (doc_id, n, ids) and its folder."""
+
+    def run(batches):
+        encoder, end = tokens.encoder(tokenizer), tokens.id_bytes(end_id)
+        for batch in batches:
+            data = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in data], pa.int64()), pa.array([tokens.packed(x, encoder.width(end_id)) for x in data], pa.binary())], ["doc_id", "n", "ids"])
+
+    folder = storage.scratch(docs.sparkSession, "tokens")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, ids binary")
+    return storage.stage(rows, "tokens", folder), folder
+
+
 def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, max_bits: int = 16) -> dict:
     """Encode ``doc_id, text`` of all documents into files below ``folder``.
 
-    Two passes over the texts: counts, then codes.  The second one sorts by
-    ``doc_id`` over range partitions and writes one file for each.  Returns the
-    manifest, which is also written as ``manifest.json``.
+    Texts are tokenized once, into a staged table of narrow ids.  That gives the
+    counts, and is then sorted by ``doc_id`` over range partitions, each of which
+    writes a file.  Returns the manifest, which is also written as ``manifest.json``.
     """
     spark = docs.sparkSession
     storage.small_batches(spark)
-    lengths = code_lengths(count_ids(docs, tokenizer, end_id), max_bits)
+    staged, staging = stage_ids(docs, tokenizer, end_id)
+    size = max(tokens.encoder(tokenizer).size, end_id + 1)
+    lengths = code_lengths(count_ids(staged, size), max_bits)
     packed = zlib.compress(lengths.tobytes())
 
     def write(batches):
         from pyspark import TaskContext
 
-        encoder, end = tokens.encoder(tokenizer), tokens.id_bytes(end_id)
         book = Codebook(np.frombuffer(zlib.decompress(packed), dtype=np.uint8))
 
         def rows():
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                    yield doc_id, encoder.encode([text])[0] + end
+                yield from zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
 
-        queue = rows()
+        queue = ((doc_id, tokens.unpacked(data, n)) for doc_id, n, data in rows())
         first = next(queue, None)
         if first is None:
             return
@@ -217,9 +227,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, max_bit
             n_docs, n_ids = write_file(out, book, chain_first(first, queue))
         yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = ordered.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.length("text"), F.xxhash64("text"))
+    ordered = staged.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
     files = ordered.mapInArrow(write, "part long, name string, n_docs long, n_ids long").collect()
     start, listed = 0, []
     for row in sorted(files, key=lambda r: r.part):  # one row a file
@@ -228,6 +237,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, max_bit
     manifest = {"lengths": packed.hex(), "end_id": end_id, "files": listed}
     with storage.writing(f"{folder}/manifest.json") as out:
         out.write(json.dumps(manifest).encode())
+    storage.drop(spark, staging)
     return manifest
 
 
@@ -248,7 +258,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
             for name, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 out: dict[str, list] = {k: [] for k in names}
                 with storage.reading(f"{folder}/{name}") as source:
-                    for doc_id, pieces in read_file(io.BufferedReader(source, 1 << 20) if not hasattr(source, "read") else source, book):
+                    for doc_id, pieces in read_file(source, book):
                         crc, n = 0, 0
                         for piece in pieces:
                             crc, n = zlib.crc32(piece.astype("<u4").tobytes(), crc), n + len(piece)
