@@ -4,8 +4,10 @@ Each line of a text is normalised (lower case, words of letters, digits and dots
 and compared with licence notices.  With sets of ``a`` and ``b`` bigrams, Dice is at
 most ``2 min(a, b) / (a + b)``, so only templates with a size between
 ``a t / (2 - t)`` and ``a (2 - t) / t`` can reach ``t``: a look-up by the line's
-size gives them, and only they are compared.  All of it is Column expressions;
-nothing is shuffled or joined.
+size gives them, and only they are compared.  Such a line also lacks few of the
+template's bigrams, so of any one bigram more than that number at least one must
+stand in it: texts and lines without any of these are passed over by one pattern.
+All of it is Column expressions; nothing is shuffled or joined.
 
 Rows and cases: a null or empty text has no line that matches, lines of one word
 have no bigram and never match, ties between templates go to the smaller name,
@@ -14,6 +16,7 @@ null ``doc_id`` and repeated rows are kept row by row, other columns are ignored
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +64,20 @@ def candidates(templates: dict[str, str], threshold: float) -> dict[int, list[st
     return by_size
 
 
+def anchors(templates: dict[str, str], threshold: float) -> str:
+    """A pattern on lower-case text that every line that reaches the threshold holds.
+
+    With ``a`` bigrams and ``c`` of a template's ``b`` in common, ``c <= a`` and
+    ``2 c >= t (a + b)`` give ``c >= t b / (2 - t)``: at most ``b - c`` are missing.
+    """
+    chosen: set[str] = set()
+    for text in templates.values():
+        pairs = sorted(bigrams_of(text), key=lambda p: (p not in chosen, -len(p), p))
+        common = max(1, math.ceil(threshold * len(pairs) / (2 - threshold) - 1e-9))
+        chosen.update(pairs[: len(pairs) - common + 1])
+    return "|".join("[^a-z0-9]+".join(map(re.escape, p.split(" "))) for p in sorted(chosen))
+
+
 def words(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(r"[a-z0-9]+(?:\.[a-z0-9]+)*"), 0)
 
@@ -70,10 +87,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     templates = TEMPLATES if templates is None else templates
     by_size = candidates(templates, threshold)
     sets = {name: bigrams_of(text) for name, text in templates.items()}
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    pattern = anchors(templates, threshold)
+    texts = docs.filter(F.lower("text").rlike(pattern))
+    lines = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(F.lower("line").rlike(pattern))
     found = lines.withColumn("words", words(F.col("line"))).filter(F.size("words") > min(by_size, default=0))
     follow = F.slice("words", 2, F.size("words"))
-    pairs = F.array_distinct(F.zip_with(F.slice("words", 1, F.size("words") - 1), follow, lambda a, b: F.concat(a, F.lit(" "), b)))
+    pairs = F.array_distinct(F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), follow, lambda a, b: F.concat(a, F.lit(" "), b)))
     found = found.withColumn("pairs", pairs).withColumn("n", F.size("pairs")).filter(F.col("n").isin(sorted(by_size)))
     scores = [F.when(F.col("n").isin([s for s in by_size if name in by_size[s]]), dice(k, name, sets[name])) for k, name in enumerate(sorted(templates))]
     found = found.withColumn("best", F.array_max(F.array(*scores)))
