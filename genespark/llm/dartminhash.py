@@ -1,7 +1,8 @@
 """Near-duplicate classes by DartMinHash signatures and banded joins.
 
-A document is the multiset of its five-word shingles (lower case; words are runs
-of letters and digits), a weighted set.  Hashed darts are thrown into the regions
+A document is the weighted set of its five-word shingles (lower case; words are
+runs of letters and digits), with weights that grow with the logarithm of their
+count.  Hashed darts are thrown into the regions
 of its elements: along every element and weight strip they come as a Poisson
 process in rank order, drawn from the element's hash alone, so two documents see
 the same darts where their regions overlap.  A dart is kept if it falls under the
@@ -10,10 +11,14 @@ coordinates agree with the probability of the weighted Jaccard similarity, and
 only about ``k ln k`` darts are drawn for a document, however many elements it has.
 
 Bands of the signature give buckets.  In a bucket every text is compared with the
-smallest one; texts of a bucket that are then in different components are compared
-as well, so no candidate pair is lost, yet copies don't make all pairs.  Candidates
-whose signatures are five standard errors under the threshold are dropped, the
-rest is decided by the exact weighted Jaccard similarity of the whole texts.
+one that shares most buckets with others, which links copies to their centre
+without making all pairs.  Candidates whose signatures are five standard errors
+under the threshold are dropped, the rest is decided by the exact weighted Jaccard
+similarity of the whole texts.  Texts of a bucket that are then still in different
+components may be linked directly, past the centre.  For those buckets a prefix
+join finishes the job without loss: shingles are put in one order, rare ones first,
+and two texts can only reach the threshold if they share a shingle early enough in
+both lists.  Per shingle only texts outside its largest component meet the others.
 Components come from label propagation with pointer jumping over staged tables.
 
 Rows and cases: equal texts are one class (null and empty texts too, together);
@@ -43,6 +48,8 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 #: Shingles sketched at once.
 CHUNK = 1 << 19
+#: Counters for the frequency of shingles.
+SLOTS = 1 << 18
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -54,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(text: str | None) -> np.ndarray:
-    """Hashes of all five-word shingles, with repeats."""
+    """Hashes of all five-word shingles in order, with repeats."""
     words = WORD.findall((text or "").lower().encode("utf-8"))
     hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     n = min(SHINGLE, len(words))
@@ -67,11 +74,16 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def weighted(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(shingles(text), return_counts=True)
+    """Distinct shingles and their weights: 1, 2, 3, ... for 1, 2, 4, ... occurrences and more.
+
+    Damped, so that a line repeated a hundred times doesn't outweigh a whole text.
+    """
+    element, count = np.unique(shingles(text), return_counts=True)
+    return element, np.frexp(count)[1].astype(np.int64)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets."""
+    """Weighted Jaccard similarity of two weighted sets."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())
     total = int(a[1].sum() + b[1].sum()) - common
@@ -197,15 +209,77 @@ def alike(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, repeated: bool) -> DataFrame:
-    """Staged (rid, text) of the texts in pairs."""
-    wanted = pairs.select(F.col("a").alias("rid")).union(pairs.select(F.col("b").alias("rid"))).distinct()
+def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """Staged (rid, text) of the wanted nodes."""
     wanted = wanted.join(nodes.select("rid", "key", F.col("doc_id").alias("own_id")), "rid")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
     found = rows.join(wanted, (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])).select("rid", "text")
     return storage.stage(found.dropDuplicates(["rid"]) if repeated else found, "texts")
 
 
+def numbered(text: str | None) -> np.ndarray:
+    """The weighted set as a plain one: every unit of weight gets a name of its own."""
+    element, count = weighted(text)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return mix(np.repeat(element, count) + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """Staged (rid, token, place, size): the tokens by which a text can meet an equal in the join.
+
+    Tokens are ordered by how many of ``texts`` have them, counted in SLOTS slots
+    by hash; any order that is the same for all texts loses nothing.
+    """
+
+    def count(batches):
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                total += np.bincount((numbered(text) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS) if text and len(text) > SLOTS else 0
+            short = [numbered(t) for t in batch.column(0).to_pylist() if t and len(t) <= SLOTS]
+            if short:
+                total += np.bincount((np.concatenate(short) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    found = texts.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(counts)  # SLOTS numbers
+
+    def run(batches):
+        for batch in batches:
+            rids, parts, sizes = [], [], []
+            for rid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                token = numbered(text)
+                order = np.lexsort((token, shared.value[(token % np.uint64(SLOTS)).astype(np.int64)]))
+                parts.append(token[order[: len(token) - int(np.ceil(threshold * len(token) - 1e-9)) + 1]])
+                rids.append(rid)
+                sizes.append(len(token))
+            n = [len(p) for p in parts]
+            place = np.concatenate([np.arange(k) for k in n]) if n else []
+            token = np.concatenate(parts).view(np.int64) if n else []
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rids, n), pa.int64()), pa.array(token, pa.int64()), pa.array(place, pa.int64()), pa.array(np.repeat(sizes, n), pa.int64())], ["rid", "token", "place", "size"])
+
+    return texts.select("rid", "text").mapInArrow(run, "rid long, token long, place long, size long")
+
+
+def meetings(texts: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different labels that may reach the threshold; none is lost.
+
+    A pair whose first shared token stands at places p and q has at most
+    min(size - p, size - q) tokens in common.
+    """
+    tokens = storage.stage(prefixes(texts, threshold).join(labels, "rid"), "tokens")
+    counts = tokens.groupBy("token", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("token", "main")
+    strays = tokens.join(main, "token").filter("label != main").select("token", F.col("rid").alias("x"), F.col("label").alias("x_label"), F.col("place").alias("x_place"), F.col("size").alias("x_size"))
+    need = F.ceil(threshold / (1 + threshold) * (F.col("size") + F.col("x_size")) - 1e-6)
+    able = F.least(F.col("size") - F.col("place"), F.col("x_size") - F.col("x_place")) >= need
+    met = strays.join(tokens, (strays["token"] == tokens["token"]) & (F.col("label") != F.col("x_label")) & able)
+    return met.select(F.least("x", "rid").alias("a"), F.greatest("x", "rid").alias("b")).distinct()
+
+
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs whose texts reach the threshold exactly."""
 
@@ -252,26 +326,23 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     nodes = storage.stage(rows.drop("key").join(groups, "rid"), "nodes")
     repeated = not rows.groupBy("key", "doc_id").count().filter("count > 1").isEmpty()
     buckets = nodes.select("rid", F.explode("bands").alias("bucket"))
-    leads = buckets.groupBy("bucket").agg(F.min("rid").alias("lead"), F.count("*").alias("n")).filter("n > 1").select("bucket", "lead")
-    members = storage.stage(buckets.join(leads, "bucket"), "members")
-    star = members.filter("rid != lead").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct()
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = storage.stage(buckets.join(sizes, "bucket"), "members")
+    degree = members.groupBy("rid").agg(F.sum("n").alias("degree"))
+    central = members.join(degree, "rid").groupBy("bucket").agg(F.max_by("rid", F.struct("degree", F.negative("rid"))).alias("lead"))
+    star = members.join(central, "bucket").filter("rid != lead").select(F.col("lead").alias("a"), F.col("rid").alias("b")).distinct()
     star = storage.stage(alike(star, nodes, threshold), "star")
-    texts = texts_of(docs, nodes, star, repeated)
+    texts = texts_of(docs, nodes, members.select("rid").distinct(), repeated)
     links = storage.stage(verify(star, texts, threshold), "links")
     labels = components(links)
-    # Texts of a bucket that are not with its smallest one meet all others that they aren't linked with yet.
-    known = members.join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+    # The lead of a bucket has met all others of it.
+    known = members.join(central, "bucket").filter("rid != lead").join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     mixed = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("bucket")
-    known = storage.stage(known.join(mixed, "bucket", "left_semi"), "mixed")
-    lead_label = known.filter("rid = lead").select("bucket", F.col("label").alias("lead_label"))
-    strays = known.join(lead_label, "bucket").filter("label != lead_label").select("bucket", F.col("rid").alias("x"), F.col("label").alias("x_label"))
-    met = strays.join(known, "bucket").filter("label != x_label and rid != lead")
-    met = met.select(F.least("x", "rid").alias("a"), F.greatest("x", "rid").alias("b")).distinct()
-    met = storage.stage(alike(met, nodes, threshold), "met")
+    open_nodes = storage.stage(known.join(mixed, "bucket", "left_semi").select("rid", "label").distinct(), "open")
+    met = meetings(texts.join(open_nodes.select("rid"), "rid"), open_nodes, threshold)
+    met = storage.stage(verify(storage.stage(met, "met"), texts, threshold), "links")
     if not met.isEmpty():
-        more = texts_of(docs, nodes, met, repeated)
-        links = links.union(storage.stage(verify(met, more, threshold), "links"))
-        labels = components(links)
+        labels = components(links.union(met))
     placed = nodes.select("rid", "key", "doc_id", "least_id", "n").join(labels, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     placed = storage.stage(placed, "placed")
     sums = placed.groupBy("label").agg(F.min("least_id").alias("class_id"), F.sum("n").alias("class_size"), F.min(F.struct(F.coalesce("least_id", F.lit((1 << 63) - 1)), "rid"))["rid"].alias("keeper_rid"))
