@@ -17,6 +17,7 @@ With no labelled row every probability is 0.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -30,6 +31,8 @@ from . import storage
 TRAIN_ROWS = 6000
 #: A feature needs this many training documents; of those, the ones that tell a category best take part.
 LEAST_DOCS = 4
+#: Chi-square of a feature at least; chance alone reaches it once in ten thousand features.
+LEAST_CHI = 15.1
 FEATURES = 2048
 FOLDS = 3
 #: Words whose features a worker keeps.
@@ -49,12 +52,12 @@ def features_of(word: str) -> list[str]:
 def choose(texts: list[set[str]], labels: np.ndarray) -> list[str]:
     """For each category, the FEATURES features with the largest chi-square."""
     number: dict[str, int] = {}
-    index, rows = [], []
-    for row, words in enumerate(texts):
-        for feature in {f for w in words for f in features_of(w)}:
-            index.append(number.setdefault(feature, len(number)))
-            rows.append(row)
-    at, row, n = np.array(index, dtype=np.int64), np.array(rows, dtype=np.int64), len(texts)
+    index, sizes = array("i"), []
+    for words in texts:
+        own = {f for w in words for f in features_of(w)}
+        index.extend(number.setdefault(f, len(number)) for f in own)
+        sizes.append(len(own))
+    at, row, n = np.frombuffer(index, dtype=np.int32), np.repeat(np.arange(len(texts), dtype=np.int32), sizes), len(texts)
     names, count = np.array(list(number), dtype=object), np.bincount(at, minlength=len(number))
     out: set[str] = set()
     for k in range(labels.shape[1]):
@@ -64,7 +67,7 @@ def choose(texts: list[set[str]], labels: np.ndarray) -> list[str]:
         both = np.bincount(at, labels[row, k], len(number))
         share = count / n
         chi = (both / n - share * rate) ** 2 / np.maximum(share * (1 - share) * rate * (1 - rate), 1e-12)
-        chi[(count < LEAST_DOCS) | (both / n < share * rate)] = 0  # only what speaks for the category
+        chi[(count < LEAST_DOCS) | (both / n < share * rate) | (n * chi < LEAST_CHI)] = 0  # only what surely speaks for the category
         best = np.lexsort((names, -chi))[:FEATURES]
         out.update(names[best[chi[best] > 0]])
     return sorted(out)
@@ -173,15 +176,20 @@ def train(texts: list[set[str]], labels: np.ndarray, categories: list[str], fold
     return fitted
 
 
-def best_limit(predicted: np.ndarray, target: np.ndarray) -> float:
-    """The limit with the best F1 on held-out predictions, halfway between its two neighbours."""
+def best_limit(predicted: np.ndarray, target: np.ndarray, precision: float = 0.98) -> float:
+    """The limit with the best F1 among those precise enough on held-out predictions, else 0.5.
+
+    It lies halfway between the two predictions around it.
+    """
     order = np.argsort(-predicted, kind="stable")
-    hits = np.cumsum(target[order])
-    score = 2 * hits / (np.arange(1, len(order) + 1) + max(target.sum(), 1))
+    hits, n = np.cumsum(target[order]), np.arange(1, len(order) + 1)
+    score = 2 * hits / (n + max(target.sum(), 1))
     score[:-1][predicted[order][:-1] == predicted[order][1:]] = -1  # equal predictions stay together
+    score[hits < precision * n] = -1
     at = int(score.argmax())
-    below = predicted[order[at + 1]] if at + 1 < len(order) else 0.0
-    return float((predicted[order[at]] + below) / 2)
+    if score[at] <= 0 or at + 1 == len(order):
+        return 0.5
+    return float((predicted[order[at]] + predicted[order[at + 1]]) / 2)
 
 
 #: Categories in the chain's order: an expression over the label columns for each.
