@@ -72,7 +72,7 @@ def score_genes(genes: DataFrame) -> DataFrame:
     """
     clamp = lambda e, n: F.struct(F.greatest(e["start"], F.lit(0)).alias("start"), F.least(e["end"], n).alias("end"))
     n = F.size("top")
-    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    mean = lambda a: F.try_divide(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), F.size(a))
     cut = lambda a, e: F.slice(a, (e["start"] + 1).cast("int"), (e["end"] - e["start"]).cast("int"))
     found = genes.withColumn("top", F.transform("probs", lambda p: F.array_max(p))).withColumn("bits", F.transform("probs", entropy)).withColumn("calls", F.transform("probs", call)).withColumn("coding", F.transform("probs", lambda p: p[2]))
     for name in ("exons", "cds"):
