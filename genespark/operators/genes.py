@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dna
 from . import confidence, intervals
+from .planning import carry_forward
 
 
 def overlapping(genes: DataFrame, seqid: str, start: int, end: int) -> DataFrame:
@@ -74,7 +75,7 @@ def filtered_lines(lines: DataFrame, keep: DataFrame) -> DataFrame:
     """
     gene = F.when(F.col("value").rlike("^[^#\t]*\t[^\t]*\tgene\t"), F.regexp_extract("value", r"(?:^|[;\t])ID=([^;]+)", 1))
     marked = lines.withColumn("gene_id", gene)
-    filled = marked.withColumn("gene_id", F.last("gene_id", ignorenulls=True).over(Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)))
+    filled = carry_forward(marked, "line_no", "gene_id")
     comment = F.col("value").startswith("#")
     wanted = filled.join(keep.select("gene_id").distinct().withColumn("__keep", F.lit(True)), "gene_id", "left")
     return wanted.filter(comment | F.coalesce("__keep", F.lit(False))).select("line_no", "value")

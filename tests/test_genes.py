@@ -42,3 +42,20 @@ def test_adaptive_chunks_cover_scaffolds_and_cut_no_gene(spark):
         own = sorted((r.start, r.end) for r in got if r.seqid == seqid)
         assert own[0][0] == 0 and own[-1][1] == length and all(x[1] == y[0] for x, y in zip(own, own[1:]))
         assert not any(s < e < t for _, e in own for k, s, t in placed if k == seqid)
+
+
+def test_carry_forward_over_blocks(spark):
+    import random
+
+    from genespark.operators import planning
+
+    rng = random.Random(1)
+    rows = [(f, k, rng.choice([None, None, None, k])) for f in (1, 2, None) for k in range(60)]
+    want, last = {}, {}
+    for f, k, v in rows:
+        last[f] = v if v is not None else last.get(f)
+        want[f, k] = last[f]
+    lines = spark.createDataFrame(rows, "file int, line_no long, v long").repartition(4)
+    for size in (7, 1 << 20):
+        got = planning.carry_forward(lines, "line_no", "v", ["file"], size)
+        assert {(r.file, r.line_no): r.v for r in got.collect()} == want
