@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import genes as gene_tables
 from ..operators import homology, planning, qc
 from .binding import EXONS, Plans, exons, table
 
@@ -205,3 +206,44 @@ def carry_forward_filter(spark, sf_dir):
 def scaffold_median_topn(spark, sf_dir):
     found = genes(spark, sf_dir).groupBy((F.col("gene") % 50).alias("seqid")).agg(F.round(F.median("confidence_score"), 6).alias("median_score"), F.round(F.stddev_pop("confidence_score"), 6).alias("spread"))
     return found.orderBy("median_score", "seqid").limit(30)
+
+
+@PLANS.add(f"WITH {HITS}, t AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY evalue, ord) AS i FROM h) SELECT query_id, subject_id, evalue, ord FROM t WHERE i <= 2")
+def top_hits(spark, sf_dir):
+    return gene_tables.top_hits(hits(spark, sf_dir), 2).select("query_id", "subject_id", "evalue", F.col("ord").cast("long").alias("ord"))
+
+
+SCORES = f"""k AS (SELECT o_orderkey AS gene, {CONF} AS conf, {HOM} AS cov, {share('o_orderkey % 83')} AS exon_min, {share('o_orderkey % 199')} AS entropy, {share('o_orderkey % 103')} AS sharp, o_orderkey % 7 AS introns,
+ CASE o_orderkey % 3 WHEN 0 THEN 'complete' WHEN 1 THEN 'partial' ELSE 'no_hit' END AS status FROM orders)"""
+
+
+def score_columns(spark, sf_dir):
+    rules = {"conf": CONF, "cov": HOM, "exon_min": share("o_orderkey % 83"), "entropy": share("o_orderkey % 199"), "sharp": share("o_orderkey % 103"), "introns": "o_orderkey % 7", "status": "CASE o_orderkey % 3 WHEN 0 THEN 'complete' WHEN 1 THEN 'partial' ELSE 'no_hit' END"}
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("gene"), *(F.expr(rule).alias(name) for name, rule in rules.items()))
+
+
+@PLANS.add(f"""WITH {SCORES} SELECT gene, concat_ws(',', CASE WHEN conf < 0.5::DOUBLE THEN 'VERY_LOW_CONF' WHEN conf < 0.7::DOUBLE THEN 'LOW_CONF' END, CASE WHEN exon_min < 0.5::DOUBLE THEN 'WEAK_EXON' END, CASE WHEN entropy > 1.5::DOUBLE THEN 'HIGH_ENTROPY' END, CASE WHEN sharp < 0.6::DOUBLE THEN 'UNCERTAIN_BOUND' END,
+ CASE WHEN introns > 4 THEN 'UNSUP_JUNCTION' END, CASE WHEN introns > 5 THEN 'NON_CANON_SPLICE' END, CASE WHEN status = 'no_hit' THEN 'NO_HOMOLOGY' END, CASE WHEN status = 'partial' OR (cov > 0 AND cov < 0.8::DOUBLE) THEN 'PARTIAL_HOMOLOGY' END) AS flags FROM k""")
+def qc_flag_rules(spark, sf_dir):
+    c = F.col
+    marks = F.concat(
+        qc.confidence_flags(c("conf"), c("exon_min"), c("entropy"), c("sharp")),
+        qc.splice_flags(c("introns") - 4, c("introns") - 5, F.lit(0), F.lit(100)),
+        qc.homology_flags(c("status"), c("cov"), F.lit(False), F.lit(False), F.lit(0)),
+    )
+    return score_columns(spark, sf_dir).select("gene", F.array_join(marks, ",").alias("flags"))
+
+
+@PLANS.add(f"""WITH {SCORES} SELECT gene, round(coalesce(cov * (CASE WHEN entropy > 1 THEN entropy / 100 ELSE entropy END), CASE status WHEN 'complete' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END), 6) AS homology_score,
+ round(CASE WHEN introns > 0 THEN 0.6::DOUBLE * (introns // 2) / introns + 0.4::DOUBLE * (introns // 3) / introns END, 6) AS splice_score FROM k""")
+def evidence_scores(spark, sf_dir):
+    c = F.col
+    half, third = F.floor(c("introns") / 2), F.floor(c("introns") / 3)
+    return score_columns(spark, sf_dir).select("gene", F.round(qc.homology_score(c("cov"), c("entropy"), c("status")), 6).alias("homology_score"), F.round(qc.splice_score(half, c("introns"), third), 6).alias("splice_score"))
+
+
+@PLANS.add(f"""WITH {EXONS}, r AS (SELECT DISTINCT o_orderkey % 5 AS seqid, o_orderkey AS region_id, o_orderkey * 1000 AS rs, o_orderkey * 1000 + 450 AS re FROM orders)
+SELECT region_id, count(gene) AS n_reads FROM r LEFT JOIN exons x ON x.seqid = r.seqid AND s < re AND rs < e GROUP BY region_id""")
+def region_read_count(spark, sf_dir):
+    wanted = table(spark, sf_dir, "orders").selectExpr("o_orderkey % 5 AS seqid", "o_orderkey AS region_id", "o_orderkey * 1000 AS start", "o_orderkey * 1000 + 450 AS end").distinct()
+    return gene_tables.read_count(exons(spark, sf_dir), wanted)
