@@ -17,26 +17,56 @@ def start_score(context: Column, position: Column, current: Column, window: int)
     return 0.6 * dna.kozak_score(context) + 0.4 * (1 - F.abs(position - current) / (2.0 * window))
 
 
-def best_start(seq: Column, current: Column, window: int = 30) -> Column:
-    """Best start codon of a plus-strand sequence around ``current`` (0-based): struct<score, position, context>.
+def start_in(piece: Column, low: Column, high: Column, strand: Column, current: Column, window: int = 30) -> Column:
+    """Best start codon of a piece [low, high) of a scaffold, read on its strand: struct<score, position, context>.
 
-    Ties go to the larger position.  Null without a candidate that has its context.
+    A candidate has three bases before it and two after it in the piece.  Its
+    position is the low coordinate of the codon on either strand.  Ties go to the
+    larger position.  Null without a candidate.
     """
-    first, last = F.greatest(F.lit(3), current - window), F.least(current + window, F.length(seq) - 7)
-    places = dna.find_codons(seq, dna.STARTS, first, last)
-    context = lambda p: F.substr(seq, (p - 2).cast("int"), F.lit(7))
-    return F.array_max(F.transform(places, lambda p: F.struct(start_score(context(p), p, current, window).alias("score"), p.alias("position"), context(p).alias("context"))))
+    places = dna.find_codons(piece, dna.STARTS, F.lit(3), F.length(piece) - 5)
+    context = lambda i: F.substr(piece, (i - 2).cast("int"), F.lit(7))
+    position = lambda i: F.when(strand == "-", high - i - 3).otherwise(low + i)
+    return F.array_max(F.transform(places, lambda i: F.struct(start_score(context(i), position(i), current, window).alias("score"), position(i).cast("long").alias("position"), context(i).alias("context"))))
+
+
+def start_span(strand: Column, current: Column, window: int = 30) -> tuple[Column, Column]:
+    """The piece in which a start is looked for: on both sides on plus, above the current end on minus."""
+    first = F.when(strand == "-", current).otherwise(current - window)
+    return F.greatest(F.lit(0), first - 3), current + window
+
+
+def best_start(seq: Column, current: Column, window: int = 30) -> Column:
+    """Best start codon of a plus-strand scaffold around ``current`` (0-based); null if the window passes its end."""
+    plus = F.lit("+")
+    low, high = start_span(plus, current, window)
+    piece = F.substr(seq, (low + 1).cast("int"), (high - low).cast("int"))
+    return F.when(high <= F.length(seq), start_in(piece, low, high, plus, current, window))
 
 
 def frame_of(phase: Column) -> Column:
     return (3 - phase) % 3
 
 
+def stop_in(piece: Column, frame: Column) -> Column:
+    """Bases from the start of a piece, read on its strand, to its first in-frame stop, or null."""
+    return F.when(F.length(piece) > 3, F.array_min(dna.find_codons(piece, dna.STOPS, frame, F.length(piece) - 3, 3)))
+
+
+def stop_place(piece: Column, strand: Column, current: Column, frame: Column) -> Column:
+    """New coding end for the piece that follows the current one in reading direction.
+
+    ``current`` itself if a stop follows at once.  Else the end after the first
+    in-frame stop on plus, the end before it on minus; null without one.
+    """
+    found = stop_in(piece, frame)
+    return F.when(F.substr(piece, F.lit(1), F.lit(3)).isin(*dna.STOPS), current).otherwise(F.when(strand == "-", current - found).otherwise(current + found + 3))
+
+
 def closest_stop(seq: Column, current: Column, window: int = 30, frame: Column | None = None) -> Column:
-    """In-frame stop nearest after the coding end, or null; ``current`` itself if a stop stands there."""
-    first = current + (F.lit(0) if frame is None else frame)
-    places = dna.find_codons(seq, dna.STOPS, first, F.least(current + window, F.length(seq)) - 3, 3)
-    return F.when(dna.codon_at(seq, current + 1).isin(*dna.STOPS), current).otherwise(F.array_min(places))
+    """New coding end on a plus-strand scaffold: after the first in-frame stop that follows, or null; ``current`` if a stop follows at once."""
+    piece = F.substr(seq, (current + 1).cast("int"), F.lit(window))
+    return stop_place(piece, F.lit("+"), current, F.lit(0) if frame is None else frame)
 
 
 def _put(parts: Column, at_first: Column, changed: Column) -> Column:

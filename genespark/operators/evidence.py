@@ -41,7 +41,7 @@ def gene_support(matched: DataFrame, keys: list[str], least_reads: int = 3) -> D
     counts = matched.groupBy(*keys).agg(
         F.count("*").alias("n_introns"),
         F.count_if(supported).alias("n_supported"),
-        F.count_if(supported & (F.col("shift") == 0)).alias("n_exact"),
+        F.count_if(F.col("shift") == 0).alias("n_exact"),
     )
     ratio = F.when(F.col("n_introns") == 0, 1.0).otherwise(F.col("n_supported") / F.col("n_introns"))
     counts = counts.withColumn("junction_ratio", F.round(ratio, 6))

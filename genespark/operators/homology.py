@@ -45,7 +45,8 @@ def best_hits(hits: DataFrame, keys: list[str], order: str = "ord") -> DataFrame
 
 
 def status(query_coverage: Column, subject_coverage: Column, limits: Thresholds = DEFAULT) -> Column:
-    return F.when((query_coverage >= limits.complete_query) & (subject_coverage >= limits.complete_subject), "complete").when(query_coverage >= limits.query_coverage, "partial").otherwise("no_hit")
+    """complete or partial for a gene with a significant hit; a missing coverage counts as 0."""
+    return F.when((query_coverage >= limits.complete_query) & (subject_coverage >= limits.complete_subject), "complete").otherwise("partial")
 
 
 def precedence(base: Column, chimeric: Column, te: Column, fragmented: Column) -> Column:
@@ -67,8 +68,8 @@ def chimeras(hits: DataFrame, query: str = "query_id", corrected: bool = False)
     return pair.groupBy(query).agg(F.min_by(F.struct(*rest), F.struct("at", "subject_a")).alias("p")).select(query, "p.subject_a", "p.subject_b", "p.gap", F.least(F.lit(1.0), F.col("p.identity") / 100).alias("confidence"))
 
 
-def fragment_groups(hits: DataFrame, query: str = "query_id", least: float = FRAGMENT_COVERAGE) -> DataFrame:
-    """Subjects that neighbouring queries cover together: subject_id, n_queries, coverage.
+def fragments(hits: DataFrame, query: str = "query_id") -> DataFrame:
+    """Best hits of queries to a subject that may be pieces of it: subject_id, query, subject_start, subject_end, subject_length.
 
     A query takes part if its best hit meets the next one with an overlap within
     the limit; the last hit of a subject always does.
@@ -76,7 +77,12 @@ def fragment_groups(hits: DataFrame, query: str = "query_id", least: float = FRA
     best = best_hits(hits, ["subject_id", query]).select("subject_id", query, "subject_start", "subject_end", "subject_length")
     order = Window.partitionBy("subject_id").orderBy("subject_start", "subject_end", query)
     follow = F.lead("subject_start").over(order)
-    part = best.withColumn("follow", follow).filter(F.col("follow").isNull() | (F.col("subject_end") - F.col("follow") + 1 <= FRAGMENT_OVERLAP))
+    return best.withColumn("follow", follow).filter(F.col("follow").isNull() | (F.col("subject_end") - F.col("follow") <= FRAGMENT_OVERLAP)).drop("follow")
+
+
+def fragment_groups(hits: DataFrame, query: str = "query_id", least: float = FRAGMENT_COVERAGE) -> DataFrame:
+    """Subjects that two or more queries cover together in pieces: subject_id, n_queries, coverage."""
+    part = fragments(hits, query)
     counts = part.groupBy("subject_id").agg(F.count("*").alias("n_queries"), F.max("subject_length").alias("subject_length")).filter("n_queries > 1")
     spans = merge(part.select("subject_id", F.col("subject_start").alias("start"), (F.col("subject_end") + 1).alias("end")), ["subject_id"])
     covered = spans.groupBy("subject_id").agg(F.sum(F.col("end") - F.col("start")).alias("covered"))

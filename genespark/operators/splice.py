@@ -25,27 +25,39 @@ def nearby_best(introns: DataFrame, junctions: DataFrame, max_shift: int, least_
     return met.groupBy(*KEY).agg(best.alias("b")).select(*KEY, "b.*")
 
 
-def rescue(window: Column, first: int, matrix: list[list[float]], reach: int) -> Column:
-    """Best site within ``reach`` of the current one: struct<score, offset>, the lowest offset on a tie.
+def pair_at(window: Column, strand: Column, site: str, slack: int, offset: Column | int = 0) -> Column:
+    """The dinucleotide of a site ``offset`` bases from the current one, read on the strand."""
+    first = {"donor": 4, "acceptor": 15}[site] + slack
+    return F.upper(dna.stranded(F.substr(window, (F.lit(first) + offset).cast("int"), F.lit(2)), strand))
 
-    ``window`` holds the sequence from ``first + reach`` bases before the site on.
+
+def rescue(window: Column, strand: Column, site: str, reach: int, slack: int | None = None) -> Column:
+    """Best canonical site within ``reach`` of the current one: struct<score, offset>, the lowest offset on a tie.
+
+    ``window`` holds the bases of the site's matrix in the order of the scaffold with
+    ``slack`` more on both sides; ``-`` stands for bases beyond the scaffold.
     """
-    sites = [F.struct(dna.pwm_score(F.substr(window, F.lit(1 + reach + k), F.lit(len(matrix))), matrix).alias("score"), F.lit(-k).alias("back")) for k in range(-reach, reach + 1)]
-    best = F.array_max(F.array(*sites))
+    slack = reach if slack is None else slack
+    matrix, wanted = {"donor": (dna.DONOR, ("GT", "GC")), "acceptor": (dna.ACCEPTOR, ("AG",))}[site]
+    piece = lambda k: dna.stranded(F.replace(F.substr(window, (k + 1 + slack).cast("int"), F.lit(len(matrix))), F.lit("-"), F.lit("")), strand)
+    pieces = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda k: F.struct(piece(k).alias("piece"), pair_at(window, strand, site, slack, k).alias("pair"), (-k).alias("back")))
+    best = F.array_max(F.transform(F.filter(pieces, lambda p: p["pair"].isin(*wanted)), lambda p: F.struct(dna.pwm_score(p["piece"], matrix).alias("score"), p["back"].alias("back"))))
     return F.struct(best["score"].alias("score"), (-best["back"]).alias("offset"))
 
 
-def refine_introns(introns: DataFrame, junctions: DataFrame, max_shift: int = 15, least_reads: int = 3, pwm_threshold: float = 0.0) -> DataFrame:
+def refine_introns(introns: DataFrame, junctions: DataFrame, max_shift: int = 15, least_reads: int = 3, pwm_threshold: float = 0.0, slack: int | None = None) -> DataFrame:
     """The decision for each intron: exact junction, best one nearby, rescue of a non-canonical site, or keep.
 
     Introns carry donor and acceptor dinucleotides and, for the rescue,
-    donor_window and acceptor_window with min(5, max_shift // 2) bases of slack on
-    both sides.  Returns decision, new_start, new_end, support and confidence.
+    donor_window and acceptor_window with ``slack`` bases more on both sides, by
+    default min(5, max_shift // 2).  Returns decision, new_start, new_end, support,
+    confidence and is_canonical: of the new sites if the slack reaches them, else of the old.
     """
     reach = min(5, max_shift // 2)
+    slack = reach if slack is None else slack
     found = jn.exact(introns, jn.last_wins(junctions.withColumn("ord", F.monotonically_increasing_id()), "ord").drop("ord")).withColumnRenamed("junction_reads", "exact_reads")
     found = found.join(nearby_best(introns.select(*KEY), junctions, max_shift, least_reads), KEY, "left")
-    found = found.withColumn("donor_site", rescue(F.col("donor_window"), 3, dna.DONOR, reach)).withColumn("acceptor_site", rescue(F.col("acceptor_window"), 16, dna.ACCEPTOR, reach))
+    found = found.withColumn("donor_site", rescue(F.col("donor_window"), F.col("strand"), "donor", reach, slack)).withColumn("acceptor_site", rescue(F.col("acceptor_window"), F.col("strand"), "acceptor", reach, slack))
     canonical = dna.is_canonical(F.col("donor"), F.col("acceptor"))
     both = (F.col("donor_site.score") > pwm_threshold) & (F.col("acceptor_site.score") > pwm_threshold)
     moved = (F.col("donor_site.offset") != 0) | (F.col("acceptor_site.offset") != 0)
@@ -53,14 +65,17 @@ def refine_introns(introns: DataFrame, junctions: DataFrame, max_shift: int = 15
     found = found.withColumn("decision", decision)
     pick = lambda near, site, old: F.when(F.col("decision") == "nearby", F.col(near)).when(F.col("decision") == "rescue", F.col(old) + F.col(f"{site}.offset")).otherwise(F.col(old))
     confidence = F.when(F.col("decision") == "nearby", correction_confidence(F.col("near_reads"), F.col("near_shift"), max_shift)).when(F.col("decision") == "rescue", F.least(F.lit(1.0), (F.col("donor_site.score") + F.col("acceptor_site.score")) / 20))
+    found = found.withColumn("new_start", pick("near_start", "donor_site", "intron_start")).withColumn("new_end", pick("near_end", "acceptor_site", "intron_end"))
+    moved_to = lambda site, new, old: pair_at(F.col(f"{site}_window"), F.col("strand"), site, slack, F.col(new) - F.col(old))
+    after = dna.is_canonical(moved_to("donor", "new_start", "intron_start"), moved_to("acceptor", "new_end", "intron_end")) if slack >= max_shift else canonical
     return found.select(
         *KEY,
         "decision",
-        pick("near_start", "donor_site", "intron_start").alias("new_start"),
-        pick("near_end", "acceptor_site", "intron_end").alias("new_end"),
+        "new_start",
+        "new_end",
         F.coalesce("exact_reads", "near_reads", F.lit(0)).alias("support"),
         confidence.alias("confidence"),
-        canonical.alias("is_canonical"),
+        F.when(F.col("decision").isin("nearby", "rescue"), F.coalesce(after, canonical)).otherwise(canonical).alias("is_canonical"),
     )
 
 

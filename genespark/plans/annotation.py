@@ -47,7 +47,7 @@ def chimera_pairs(spark, sf_dir):
 
 
 @PLANS.add(f"""WITH {HITS}, s AS (SELECT *, row_number() OVER (PARTITION BY subject_id, query_id ORDER BY evalue, ord) AS i FROM h), u AS (SELECT * FROM s WHERE i = 1),
-l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, subject_end, query_id) AS nxt FROM u), p AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt + 1 <= 50),
+l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, subject_end, query_id) AS nxt FROM u), p AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
 n AS (SELECT subject_id, count(*) AS n_queries FROM p GROUP BY 1 HAVING count(*) > 1),
 q AS (SELECT DISTINCT subject_id, unnest(range(subject_start, subject_end + 1)) AS pos FROM p), c AS (SELECT subject_id, count(*) / 400 AS coverage FROM q GROUP BY 1)
 SELECT subject_id, n_queries, round(coverage, 6) AS coverage FROM n JOIN c USING (subject_id) WHERE coverage >= 0.8""")
@@ -55,12 +55,12 @@ def fragment_groups(spark, sf_dir):
     return homology.fragment_groups(hits(spark, sf_dir)).withColumn("coverage", F.round("coverage", 6))
 
 
-STATUS = BEST + """, st AS (SELECT query_id, CASE WHEN (query_end - query_start + 1) / query_length >= 0.2 AND (subject_end - subject_start + 1) / subject_length >= 0.1 THEN 'complete' WHEN (query_end - query_start + 1) / query_length >= 0.15 THEN 'partial' ELSE 'no_hit' END AS status FROM b)"""
+STATUS = BEST + """, st AS (SELECT query_id, CASE WHEN (query_end - query_start + 1) / query_length >= 0.2 AND (subject_end - subject_start + 1) / subject_length >= 0.1 THEN 'complete' ELSE 'partial' END AS status FROM b)"""
 
 
 def statuses(spark, sf_dir):
     c = F.col
-    limits = homology.Thresholds(query_coverage=0.15, complete_query=0.2, complete_subject=0.1)
+    limits = homology.Thresholds(complete_query=0.2, complete_subject=0.1)
     found = homology.best_hits(hits(spark, sf_dir), ["query_id"])
     return found.select("query_id", homology.status(homology.coverage(c("query_start"), c("query_end"), c("query_length")), homology.coverage(c("subject_start"), c("subject_end"), c("subject_length")), limits).alias("status"))
 
@@ -234,7 +234,7 @@ def qc_flag_rules(spark, sf_dir):
     return score_columns(spark, sf_dir).select("gene", F.array_join(marks, ",").alias("flags"))
 
 
-@PLANS.add(f"""WITH {SCORES} SELECT gene, round(coalesce(cov * (CASE WHEN entropy > 1 THEN entropy / 100 ELSE entropy END), CASE status WHEN 'complete' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END), 6) AS homology_score,
+@PLANS.add(f"""WITH {SCORES} SELECT gene, round(coalesce(CASE WHEN cov > 0 AND entropy > 0 THEN cov * (CASE WHEN entropy > 1 THEN entropy / 100 ELSE entropy END) END, CASE status WHEN 'complete' THEN 1.0 WHEN 'partial' THEN 0.5 ELSE 0.0 END), 6) AS homology_score,
  round(CASE WHEN introns > 0 THEN 0.6::DOUBLE * (introns // 2) / introns + 0.4::DOUBLE * (introns // 3) / introns END, 6) AS splice_score FROM k""")
 def evidence_scores(spark, sf_dir):
     c = F.col

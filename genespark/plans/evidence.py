@@ -41,7 +41,7 @@ def nearest_junction(spark, sf_dir):
 
 
 SUPPORT = NEAREST + """,
-n AS (SELECT gene, count(*) AS n_introns, count(*) FILTER (junction_reads >= 3) AS n_supported, count(*) FILTER (junction_reads >= 3 AND shift = 0) AS n_exact FROM matched GROUP BY gene),
+n AS (SELECT gene, count(*) AS n_introns, count(*) FILTER (junction_reads >= 3) AS n_supported, count(*) FILTER (shift = 0) AS n_exact FROM matched GROUP BY gene),
 support AS (SELECT *, round(n_supported / n_introns, 6) AS junction_ratio FROM n),
 levels AS (SELECT *, round(least(1.0, greatest(0.0, 0.5 * (1.0 - junction_ratio) + 0.3 + 0.2)), 6) AS aed,
   CASE WHEN junction_ratio >= 0.8 THEN 'partial' WHEN junction_ratio > 0 THEN 'minimal' ELSE 'none' END AS evidence_level FROM support)"""

@@ -108,7 +108,7 @@ def kozak_score(spark, sf_dir):
     return sequences(spark, sf_dir).select("doc_id", F.round(dna.kozak_score(F.substr("seq", F.lit(11), F.lit(7))), 6).alias("kozak"))
 
 
-START_SQL = f"""u AS (SELECT doc_id, seq, unnest(range(3, length(seq) - 6)) AS p FROM d), w AS (SELECT * FROM u WHERE p BETWEEN 3 AND 53 AND substr(seq, p + 1, 3) IN ('ATG', 'CTG', 'GTG', 'TTG')),
+START_SQL = f"""u AS (SELECT doc_id, seq, unnest(range(3, length(seq) - 6)) AS p FROM d), w AS (SELECT * FROM u WHERE p BETWEEN 3 AND 48 AND substr(seq, p + 1, 3) IN ('ATG', 'CTG', 'GTG', 'TTG')),
 k AS (SELECT doc_id, p, substr(seq, p - 2, 7) AS context FROM w), s AS (SELECT doc_id, p, context, 0.6::DOUBLE * ({kozak_sql('context')}) + 0.4::DOUBLE * (1 - abs(p - 23) / 60.0::DOUBLE) AS score FROM k),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, p DESC) AS i FROM s)"""
 
@@ -116,7 +116,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9)
 @PLANS.add(f"WITH {SEQ}, {START_SQL} SELECT doc_id, CAST(p AS INTEGER) AS start_at, context, round(score, 6) AS score FROM r WHERE i = 1")
 def start_codon_best(spark, sf_dir):
     seq = F.col("seq")
-    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(dna.find_codons(seq, dna.STARTS, F.lit(3), F.least(F.lit(53), F.length(seq) - 7))).alias("p"))
+    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(dna.find_codons(seq, dna.STARTS, F.lit(3), F.lit(48))).alias("p"))
     scored = places.withColumn("context", F.substr("seq", F.col("p") - 2, F.lit(7)))
     scored = scored.withColumn("score", 0.6 * dna.kozak_score(F.col("context")) + 0.4 * (1 - F.abs(F.col("p") - 23) / 60.0))
     best = F.max_by(F.struct("p", "context", "score"), F.struct(F.round("score", 9), "p"))

@@ -76,13 +76,14 @@ def test_corrections_fold(spark):
 
 
 def test_refine_decisions(spark):
-    window = "A" * 5 + "CAGGTAAGT" + "A" * 5
+    window = "A" * 4 + "CAGGTAAGT" + "A" * 6  # the canonical donor lies a base before the current one
     tail = "T" * 5 + "TTTTTTTTTTTTTTAG" + "A" * 5
-    introns = spark.createDataFrame([("c", k, "+", 1000 * k, 1000 * k + 100, "GT" if k < 3 else "AA", "AG", window, tail) for k in range(1, 5)], "seqid string, gene long, strand string, intron_start long, intron_end long, donor string, acceptor string, donor_window string, acceptor_window string")
+    plain = "A" * 19
+    introns = spark.createDataFrame([("c", k, "+", 1000 * k, 1000 * k + 100, "GT" if k < 3 else "AA", "AG", window if k < 4 else plain, tail) for k in range(1, 5)], "seqid string, gene long, strand string, intron_start long, intron_end long, donor string, acceptor string, donor_window string, acceptor_window string")
     found = spark.createDataFrame([("c", 1000, 1100, "-", 1), ("c", 2004, 2098, "+", 9), ("c", 2001, 2100, "+", 4), ("c", 2000, 2099, "-", 99)], "seqid string, start long, end long, strand string, reads int")
     got = {r.gene: r for r in splice.refine_introns(introns, found).collect()}
-    assert [got[k].decision for k in range(1, 5)] == ["exact", "nearby", "rescue", "rescue"]
-    assert (got[3].new_start, got[3].new_end) == (3000, 3101)  # the acceptor matrix stands one column off
+    assert [got[k].decision for k in range(1, 5)] == ["exact", "nearby", "rescue", "keep"]
+    assert (got[3].new_start, got[3].new_end) == (2999, 3100)  # only GT, GC and AG are sites
     assert (got[2].new_start, got[2].new_end, got[2].support) == (2004, 2098, 9)
     report = {r.gene: r for r in splice.report(splice.refine_introns(introns, found)).collect()}
     assert report[1].n_supported == 0 and report[2].n_supported == 1 and report[2].n_corrected == 1
@@ -99,4 +100,4 @@ def test_boundary_shifts(spark):
     seq = spark.createDataFrame([("CCCACCATGGCCCTAACCCTGACC",)], "s string")
     best = seq.select(boundaries.best_start(F.col("s"), F.lit(9), 10).alias("b")).first().b
     assert best.position == 6 and best.context == "ACCATGG"
-    assert [seq.select(boundaries.closest_stop(F.col("s"), F.lit(k), 30)).first()[0] for k in (6, 7, 13)] == [None, 13, 13]
+    assert [seq.select(boundaries.closest_stop(F.col("s"), F.lit(k), 30)).first()[0] for k in (6, 7, 13)] == [None, 16, 13]  # the coding end goes after the stop
