@@ -78,12 +78,12 @@ def _put(parts: Column, at_first: Column, changed: Column) -> Column:
 def _shift(cds: Column, exons: Column, at_low: Column, delta: Column, reset_phase: bool) -> Column:
     """Move the low or the high end of the coding region, and the exon there if it is passed."""
     ordered, outer = F.array_sort(cds), F.array_sort(exons)
-    part = F.when(at_low, F.element_at(ordered, 1)).otherwise(F.element_at(ordered, -1))
+    part = F.when(at_low, F.try_element_at(ordered, F.lit(1))).otherwise(F.try_element_at(ordered, F.lit(-1)))
     start = F.when(at_low, part["start"] + delta).otherwise(part["start"])
     end = F.when(at_low, part["end"]).otherwise(part["end"] + delta)
     phase = F.lit(0) if reset_phase else part["phase"]
     new = F.struct(start.alias("start"), end.alias("end"), phase.cast("int").alias("phase"))
-    exon = F.when(at_low, F.element_at(outer, 1)).otherwise(F.element_at(outer, -1))
+    exon = F.when(at_low, F.try_element_at(outer, F.lit(1))).otherwise(F.try_element_at(outer, F.lit(-1)))
     wide = F.struct(F.when(at_low, F.least(exon["start"], start)).otherwise(exon["start"]).alias("start"), F.when(at_low, exon["end"]).otherwise(F.greatest(exon["end"], end)).alias("end"))
     able = (F.size(cds) > 0) & (start < end)
     return F.struct(F.when(able, _put(ordered, at_low, new)).otherwise(cds).alias("cds"), F.when(able, _put(outer, at_low, wide)).otherwise(exons).alias("exons"))
