@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import runs
 from ..operators import evidence, intervals, junctions
 from .binding import BLOCKS, EXONS, INTRONS, JUNCTIONS, Plans, blocks, exons, gene_introns, table
 from .binding import junctions as bound_junctions
@@ -130,3 +131,30 @@ def overlap_te_fraction(spark, sf_dir):
     met = intervals.overlap_join(genes, te, ["seqid"], ("gs", "ge"), ("ts", "te"))
     share = F.least(F.lit(1.0), F.sum(intervals.overlap_length(F.col("gs"), F.col("ge"), F.col("ts"), F.col("te"))) / F.first(F.col("ge") - F.col("gs")))
     return met.groupBy("gene").agg(F.round(share, 6).alias("te_fraction"))
+
+
+def gene_tables(spark, sf_dir):
+    """Genes, one transcript each, and aligned blocks: gene % 8 of them at every exon, each cut a little further."""
+    rows = exons(spark, sf_dir).withColumnRenamed("gene", "gene_id")
+    spans = rows.groupBy("gene_id", "seqid", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("exons"))
+    transcripts = spans.withColumns({"line_no": F.lit(0).cast("long"), "transcript_id": F.col("gene_id").cast("string"), "cds": F.array().cast("array<struct<start:bigint,end:bigint,phase:int>>")})
+    copies = rows.filter("gene_id % 8 > 0").withColumn("k", F.explode(F.sequence(F.lit(1), (F.col("gene_id") % 8).cast("int"))))
+    return spans.drop("exons"), transcripts, copies.selectExpr("seqid", "strand", "start + 2 * k AS start", "end + k AS end")
+
+
+@PLANS.add(f"""WITH {NEAREST}, i AS (SELECT gene, count(*) AS n_introns, count(*) FILTER (junction_reads >= 3) AS n_supported, count(*) FILTER (shift = 0) AS n_exact FROM matched GROUP BY gene),
+cp AS (SELECT gene, s, e, unnest(range(1, gene % 8 + 1)) AS k FROM exons), bl AS (SELECT gene, p, count(*) AS n FROM (SELECT gene, unnest(range(s + 2 * k, e + k)) AS p FROM cp) GROUP BY ALL),
+d AS (SELECT gene, rn, unnest(range(s, e)) AS p FROM exons), dp AS (SELECT d.gene, rn, coalesce(n, 0) AS depth FROM d LEFT JOIN bl ON bl.gene = d.gene AND bl.p = d.p),
+es AS (SELECT gene, rn, avg(depth) AS mean, median(depth) AS med, min(depth) AS low FROM dp GROUP BY gene, rn),
+y AS (SELECT gene, count(*) AS n_exons, count(*) FILTER (med >= 5) AS n_expressed, avg(mean) AS coverage, arg_min(low, rn) >= 5 AS a, arg_max(low, rn) >= 5 AS b FROM es GROUP BY gene),
+z AS (SELECT y.gene, strand, coalesce(n_introns, 0) AS n_introns, coalesce(n_supported, 0) AS n_supported, coalesce(n_exact, 0) AS n_exact, n_exons, n_expressed, coverage, CASE WHEN strand = '+' THEN a ELSE b END AS at_start, CASE WHEN strand = '+' THEN b ELSE a END AS at_stop,
+ CASE WHEN n_introns > 0 THEN n_supported / n_introns ELSE 1.0 END AS jr, n_expressed / n_exons AS er FROM y JOIN (SELECT DISTINCT gene, strand FROM exons) USING (gene) LEFT JOIN i USING (gene))
+SELECT gene AS gene_id, n_introns, n_supported AS n_introns_supported, n_exact AS n_introns_exact, n_exons, n_expressed AS n_exons_expressed, round(coverage, 6) AS mean_exon_coverage, at_start AS start_supported, at_stop AS stop_supported,
+ round(CAST(0.5 * (1 - jr) + 0.3 * (1 - er) + 0.2 * (1 - (CAST(at_start AS INTEGER) + CAST(at_stop AS INTEGER)) / 2) AS DOUBLE), 6) AS aed,
+ CASE WHEN n_introns = 0 THEN CASE WHEN er >= 0.8 THEN 'full' WHEN er >= 0.5 THEN 'partial' WHEN er > 0 THEN 'minimal' ELSE 'none' END WHEN jr >= 1 AND er >= 0.8 THEN 'full' WHEN jr >= 0.8 OR (jr >= 0.5 AND er >= 0.5) THEN 'partial' WHEN jr > 0 OR er > 0 THEN 'minimal' ELSE 'none' END AS evidence_level,
+ concat_ws(',', CASE WHEN n_introns > 0 AND n_supported = 0 THEN 'NO_JUNCTION_SUPPORT' WHEN n_supported < n_introns THEN 'PARTIAL_JUNCTION_SUPPORT' END, CASE WHEN n_expressed = 0 THEN 'NO_EXON_EXPRESSION' WHEN er < 0.5 THEN 'LOW_EXON_COVERAGE' END, CASE WHEN NOT at_start THEN 'START_UNSUPPORTED' END, CASE WHEN NOT at_stop THEN 'STOP_UNSUPPORTED' END) AS flags FROM z""")
+def evidence_run(spark, sf_dir):
+    genes, transcripts, aligned = gene_tables(spark, sf_dir)
+    found = runs.score_evidence(genes, transcripts, bound_junctions(spark, sf_dir), aligned)
+    rounded = found.withColumn("mean_exon_coverage", F.round("mean_exon_coverage", 6)).withColumn("aed", F.round("aed", 6)).withColumn("flags", F.array_join("flags", ","))
+    return rounded.select("gene_id", "n_introns", "n_introns_supported", "n_introns_exact", "n_exons", "n_exons_expressed", "mean_exon_coverage", "start_supported", "stop_supported", "aed", "evidence_level", "flags")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import runs
 from ..functions import regions
 from ..operators import confidence, homology, planning, predictions, report, splice
-from .annotation import STATUS, hits, scaffolds, statuses
+from .annotation import HITS, STATUS, hits, scaffolds, statuses
 from .binding import JUNCTIONS, Plans, gene_introns, table
 from .binding import junctions as bound_junctions
 from .signals import PROBS, probabilities
@@ -107,3 +108,17 @@ def gene_confidence(spark, sf_dir):
     genes = genes.withColumn("exons", F.array(span(F.lit(0), half), span(half + 5, F.col("length")))).withColumn("cds", F.col("exons"))
     names = ["mean_prob", "min_prob", "mean_entropy", "boundary_sharpness", "coding_consistency", "worst_exon_score", "overall_score"]
     return confidence.score_genes(genes).select("gene_id", *(F.round(n, 6).alias(n) for n in names))
+
+
+@PLANS.add(f"""WITH {HITS}, sg AS (SELECT * FROM h WHERE evalue <= 0.05 AND identity >= 30), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY evalue, ord) AS i, count(*) OVER (PARTITION BY query_id) AS n_hits FROM sg),
+st AS (SELECT query_id, n_hits, CASE WHEN (query_end - query_start + 1) / query_length >= 0.2 AND (subject_end - subject_start + 1) / subject_length >= 0.1 THEN 'complete' ELSE 'partial' END AS status FROM r WHERE i = 1),
+s2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i FROM sg), u AS (SELECT * FROM s2 WHERE i = 1),
+p AS (SELECT query_id, lead(query_start) OVER (PARTITION BY query_id ORDER BY query_start, query_end, subject_id) - query_end AS gap FROM u), ch AS (SELECT DISTINCT query_id FROM p WHERE gap IS NOT NULL AND greatest(0, -gap) <= 10),
+l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, subject_end, query_id) AS nxt FROM u), f AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
+q AS (SELECT DISTINCT subject_id, unnest(range(subject_start, subject_end + 1)) AS pos FROM f), cv AS (SELECT subject_id FROM q GROUP BY 1 HAVING count(*) / 400 >= 0.8), n AS (SELECT subject_id FROM f GROUP BY 1 HAVING count(*) > 1), fr AS (SELECT DISTINCT query_id FROM f JOIN cv USING (subject_id) JOIN n USING (subject_id)),
+a AS (SELECT o_orderkey AS query_id FROM orders UNION SELECT query_id FROM h)
+SELECT query_id AS gene_id, coalesce(n_hits, 0) AS n_hits, CASE WHEN fr.query_id IS NOT NULL THEN 'fragmented' WHEN ch.query_id IS NOT NULL THEN 'chimeric' ELSE coalesce(status, 'no_hit') END AS status FROM a LEFT JOIN st USING (query_id) LEFT JOIN ch USING (query_id) LEFT JOIN fr USING (query_id)""")
+def homology_run(spark, sf_dir):
+    genes = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS gene_id")
+    found = runs.validate(genes, hits(spark, sf_dir), limits=homology.Thresholds(evalue=0.05, complete_query=0.2, complete_subject=0.1))
+    return found.select("gene_id", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), "status")

@@ -54,15 +54,15 @@ def confidence(genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, data
     return scoring.score_genes(rows.select("gene_id", (F.col("end") - F.col("start")).alias("length"), "probs", inside("exons").alias("exons"), inside("cds").alias("cds")))
 
 
-def exon_depth(exons: DataFrame, blocks: DataFrame, keys: list[str], stranded: bool = True) -> DataFrame:
+def exon_depth(exons: DataFrame, blocks: DataFrame, keys: list[str], stranded: bool = True, size: int = 1 << 10) -> DataFrame:
     """Depth of each exon (keys, seqid, strand, start, end) under aligned blocks: mean, median, least and largest.
 
     Depth stays in runs: an exon gets its runs with their lengths, and one row for
-    the bases no block covers.
+    the bases no block covers.  ``size`` is the bin in which exons meet runs, some exons long.
     """
     place = ["seqid", "strand"] if stranded else ["seqid"]
     runs = intervals.coverage_runs(blocks, place).withColumnsRenamed({"start": "run_start", "end": "run_end"})
-    met = intervals.overlap_join(exons, runs, place, ("start", "end"), ("run_start", "run_end"))
+    met = intervals.overlap_join(exons, runs, place, ("start", "end"), ("run_start", "run_end"), size)
     length = intervals.overlap_length(F.col("start"), F.col("end"), F.col("run_start"), F.col("run_end"))
     parts = met.select(*keys, "depth", length.alias("n"))
     covered = parts.groupBy(*keys).agg(F.sum("n").alias("covered"))
