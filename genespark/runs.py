@@ -64,11 +64,12 @@ def exon_depth(exons: DataFrame, blocks: DataFrame, keys: list[str], stranded: b
     runs = intervals.coverage_runs(blocks, place).withColumnsRenamed({"start": "run_start", "end": "run_end"})
     met = intervals.overlap_join(exons, runs, place, ("start", "end"), ("run_start", "run_end"), size)
     length = intervals.overlap_length(F.col("start"), F.col("end"), F.col("run_start"), F.col("run_end"))
-    parts = met.select(*keys, "depth", length.alias("n"))
-    covered = parts.groupBy(*keys).agg(F.sum("n").alias("covered"))
-    bare = exons.join(covered, keys, "left").select(*keys, F.lit(0).cast("long").alias("depth"), (F.col("end") - F.col("start") - F.coalesce("covered", F.lit(0))).alias("n")).filter("n > 0")
+    row = lambda depth, n: F.struct(depth.cast("long").alias("depth"), n.cast("long").alias("n"))
+    parts = met.select(*keys, F.explode(F.array(row(F.col("depth"), length), row(F.lit(0), -length))).alias("p"))  # bases with a run are taken off the bare ones
+    whole = exons.select(*keys, row(F.lit(0), F.col("end") - F.col("start")).alias("p"))
+    counts = parts.unionByName(whole).groupBy(*keys, "p.depth").agg(F.sum("p.n").alias("n")).filter("n > 0")
     depth, n = F.col("depth"), F.col("n")
-    return parts.unionByName(bare).groupBy(*keys).agg((F.sum(depth * n) / F.sum(n)).alias("mean_depth"), F.percentile(depth, 0.5, n).alias("median_depth"), F.min(depth).alias("min_depth"), F.max(depth).alias("max_depth"))
+    return counts.groupBy(*keys).agg((F.sum(depth * n) / F.sum(n)).alias("mean_depth"), F.percentile(depth, 0.5, n).alias("median_depth"), F.min(depth).alias("min_depth"), F.max(depth).alias("max_depth"))
 
 
 def score_evidence(genes: DataFrame, transcripts: DataFrame, found: DataFrame, blocks: DataFrame | None = None, least_reads: int = 3, least_depth: float = 5, tolerance: int = 10, stranded: bool = True) -> DataFrame:
