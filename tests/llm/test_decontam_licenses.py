@@ -87,3 +87,25 @@ def test_license_lines_equal_brute_force(spark, odd, empty):
     want = {(k // 10, k % 10): (b[0], round(b[1], 6)) for k, line in enumerate(lines) if (b := brute_license(line))}
     assert got == want and len(want) > 50
     assert licenses.scan(odd).count() == 0 and licenses.scan(empty).count() == 0
+
+
+def test_notices_within_lines_over_lines_and_headers(spark):
+    grant = licenses.NOTICES["MIT"][0]
+    header = licenses.gnu("General Public License", "2").replace(" ", "\n * ", 1).replace("under the", "under\n * the")
+    rows = [
+        (0, "This project is released under the MIT License."),
+        (1, "Copyright (c) 2019 Jane Doe. Released under the MIT License."),
+        (2, "x\nThe text is licensed under CC BY-NC 4.0."),
+        (3, "# Released under\n# the MIT\n# License."),
+        (4, "Copyright 2020\n\n" + grant.replace("copy of", "copy\nof").replace("publish, ", "publish,\n")),
+        (5, "/*\n * " + header + "\n */"),
+        (6, licenses.NOTICES["BSD-3-Clause"][0]),
+        (7, licenses.SOURCE_BINARY),
+        (8, "// SPDX-License-Identifier: MIT OR Apache-2.0\nx = 1"),
+        (9, "a " * 300 + "Licensed under the Apache License, Version 2.0. " + "b " * 300 + "Released under the MIT License."),
+        (10, "Released under the MIT License.\nReleased under the MIT License."),
+        (11, "Under the general terms of the public, a licence version was copied."),
+    ]
+    got = sorted((r.doc_id, r.line_no, r.license, r.dice) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    want = [(0, 0, "MIT"), (1, 0, "MIT"), (2, 1, "CC-BY-NC-4.0"), (3, 0, "MIT"), (4, 2, "MIT"), (5, 1, "GPL-2.0"), (6, 0, "BSD-3-Clause"), (7, 0, "BSD-2-Clause"), (8, 0, "MIT OR Apache-2.0"), (9, 0, "Apache-2.0"), (9, 0, "MIT"), (10, 0, "MIT"), (10, 1, "MIT")]
+    assert [x[:3] for x in got] == want and all(x[3] == 1 for x in got)
