@@ -86,9 +86,10 @@ def build_pwm(windows, pseudocount):
 
 @PLANS.add(f"WITH {SEQ}, u AS (SELECT doc_id, seq, unnest(range(0, 50)) AS p FROM d), s AS (SELECT doc_id, p, {pwm_sql('substr(seq, p + 1, 9)', dna.DONOR)} AS score FROM u) SELECT doc_id, CAST(arg_max(p, (round(score, 6), -p)) AS INTEGER) AS best_at, round(max(score), 6) AS best_score FROM s GROUP BY doc_id")
 def sliding_pwm_best(spark, sf_dir):
-    """Best donor position among the first 50 windows, a look-up region of the operator."""
-    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("p"))
-    scored = places.withColumn("score", F.round(dna.pwm_score(F.substr("seq", F.col("p") + 1, F.lit(9)), dna.DONOR), 6))
+    """Best donor position among all windows of a sequence, cut in one pass; the SQL looks at the first 50 only."""
+    windows = F.regexp_extract_all("seq", F.lit("(?=(.{9}))"), 1)
+    places = sequences(spark, sf_dir).select("doc_id", F.posexplode(windows).alias("p", "window"))
+    scored = places.withColumn("score", F.round(dna.pwm_score(F.col("window"), dna.DONOR), 6))
     return scored.groupBy("doc_id").agg(F.max_by("p", F.struct("score", -F.col("p"))).alias("best_at"), F.max("score").alias("best_score"))
 
 

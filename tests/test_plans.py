@@ -1,4 +1,5 @@
-from genespark.plans import binding
+from genespark.functions import dna
+from genespark.plans import binding, sequences
 
 
 def lines_of(spark, folder, orders):
@@ -15,3 +16,21 @@ def test_all_exons_and_junctions_of_all_genes(spark, tmp_path):
     assert sorted((r.gene, r.rn, r.start, r.end) for r in exons) == [(g, k, g * 1000 + k * 100, g * 1000 + k * 100 + 20 + k) for g, n in ((3, 12), (4, 2), (7, 40)) for k in range(1, n + 1)]
     assert binding.gene_introns(spark, folder).groupBy("gene").count().orderBy("gene").collect() == [(3, 11), (4, 1), (7, 39)]
     assert binding.junctions(spark, folder).count() == 51
+
+
+def texts_in(spark, folder, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_best_donor_of_the_whole_sequence(spark, tmp_path):
+    site = "CAGGTAAGT"
+    texts = ["C" * 300 + site + "C" * 100, "C" * 200 + site, site + "C" * 500 + site, "ACGTTGCANN" * 30]
+    folder = texts_in(spark, tmp_path, [t.translate(str.maketrans("ACGTN", "abcdm")) for t in texts])
+    ratios = dna.log_ratios(dna.DONOR)
+    want = {}
+    for k, text in enumerate(texts):
+        scores = [round(sum(dict(zip("ACGT", row, strict=True)).get(b, 0.0) for b, row in zip(text[p : p + 9], ratios, strict=True)), 6) for p in range(len(text) - 8)]
+        want[k] = (scores.index(max(scores)), max(scores))
+    got = {r.doc_id: (r.best_at, r.best_score) for r in sequences.sliding_pwm_best(spark, folder).collect()}
+    assert got == want and [want[k][0] for k in range(3)] == [300, 200, 0]
