@@ -12,9 +12,12 @@ FROM, TO = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTNACGTACGTACGTA"
 
 
 def sequences(spark, sf_dir):
-    """doc_id and a sequence: letters become bases, everything else goes."""
+    """doc_id and a sequence of any length: letters become bases, everything else goes.
+
+    The SQL leaves out sequences of less than 60 bases.
+    """
     seq = F.regexp_replace(F.translate(F.lower("text"), FROM, TO), "[^ACGTN]", "")
-    return table(spark, sf_dir, "documents").select("doc_id", seq.alias("seq")).filter(F.length("seq") >= 60)
+    return table(spark, sf_dir, "documents").select("doc_id", seq.alias("seq"))
 
 
 SEQ = f"q AS (SELECT doc_id, regexp_replace(translate(lower(text), '{FROM}', '{TO}'), '[^ACGTN]', '', 'g') AS seq FROM documents), d AS (SELECT * FROM q WHERE length(seq) >= 60)"
@@ -50,8 +53,11 @@ def translate_codons(spark, sf_dir):
 
 @PLANS.add(f"WITH {SEQ}, s AS (SELECT doc_id, substr(seq, 6, 2) AS donor, substr(seq, 49, 2) AS acceptor FROM d) SELECT doc_id, donor, acceptor, CASE WHEN donor || '-' || acceptor IN ('GT-AG', 'GC-AG', 'AT-AC') THEN donor || '-' || acceptor ELSE 'other' END AS splice_type, donor || '-' || acceptor IN ('GT-AG', 'GC-AG') AS is_canonical FROM s")
 def splice_type_case(spark, sf_dir):
+    """Null where a site lies past the end."""
     donor, acceptor = dna.splice_sites(F.col("seq"), F.lit(5), F.lit(50))
-    return sequences(spark, sf_dir).select("doc_id", donor.alias("donor"), acceptor.alias("acceptor")).withColumn("splice_type", dna.splice_type(F.col("donor"), F.col("acceptor"))).withColumn("is_canonical", dna.is_canonical(F.col("donor"), F.col("acceptor")))
+    sites = sequences(spark, sf_dir).select("doc_id", F.when(F.length("seq") >= 7, donor).alias("donor"), F.when(F.length("seq") >= 50, acceptor).alias("acceptor"))
+    whole = F.col("donor").isNotNull() & F.col("acceptor").isNotNull()
+    return sites.withColumn("splice_type", F.when(whole, dna.splice_type(F.col("donor"), F.col("acceptor")))).withColumn("is_canonical", F.when(whole, dna.is_canonical(F.col("donor"), F.col("acceptor"))))
 
 
 def pwm_sql(seq: str, matrix: list[list[float]]) -> str:
@@ -106,7 +112,8 @@ def kozak_sql(context: str) -> str:
 
 @PLANS.add(f"WITH {SEQ}, c AS (SELECT doc_id, substr(seq, 11, 7) AS context FROM d) SELECT doc_id, round({kozak_sql('context')}, 6) AS kozak FROM c")
 def kozak_score(spark, sf_dir):
-    return sequences(spark, sf_dir).select("doc_id", F.round(dna.kozak_score(F.substr("seq", F.lit(11), F.lit(7))), 6).alias("kozak"))
+    """Null where the context lies past the end."""
+    return sequences(spark, sf_dir).select("doc_id", F.when(F.length("seq") >= 17, F.round(dna.kozak_score(F.substr("seq", F.lit(11), F.lit(7))), 6)).alias("kozak"))
 
 
 START_SQL = f"""u AS (SELECT doc_id, seq, unnest(range(3, length(seq) - 6)) AS p FROM d), w AS (SELECT * FROM u WHERE p BETWEEN 3 AND 48 AND substr(seq, p + 1, 3) IN ('ATG', 'CTG', 'GTG', 'TTG')),
@@ -117,7 +124,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9)
 @PLANS.add(f"WITH {SEQ}, {START_SQL} SELECT doc_id, CAST(p AS INTEGER) AS start_at, context, round(score, 6) AS score FROM r WHERE i = 1")
 def start_codon_best(spark, sf_dir):
     seq = F.col("seq")
-    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(dna.find_codons(seq, dna.STARTS, F.lit(3), F.lit(48))).alias("p"))
+    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(dna.find_codons(seq, dna.STARTS, F.lit(3), F.least(F.lit(48), F.length(seq) - 7))).alias("p"))
     scored = places.withColumn("context", F.substr("seq", F.col("p") - 2, F.lit(7)))
     scored = scored.withColumn("score", 0.6 * dna.kozak_score(F.col("context")) + 0.4 * (1 - F.abs(F.col("p") - 23) / 60.0))
     best = F.max_by(F.struct("p", "context", "score"), F.struct(F.round("score", 9), "p"))

@@ -34,3 +34,20 @@ def test_best_donor_of_the_whole_sequence(spark, tmp_path):
         want[k] = (scores.index(max(scores)), max(scores))
     got = {r.doc_id: (r.best_at, r.best_score) for r in sequences.sliding_pwm_best(spark, folder).collect()}
     assert got == want and [want[k][0] for k in range(3)] == [300, 200, 0]
+
+
+def test_short_and_empty_sequences(spark, tmp_path):
+    # Letters a, b, c, d, m read as A, C, G, T, N.
+    folder = texts_in(spark, tmp_path, ["abc" * 10, "dab", "", "m", None])
+    by_doc = lambda query: {r.doc_id: tuple(r[1:]) for r in query(spark, folder).collect()}
+    assert by_doc(sequences.gc_content) == {0: (0.666667, 0.666667), 1: (0.333333, 0.333333), 2: (0, 0), 3: (0, 0), 4: (0, 0)}
+    assert by_doc(sequences.nucleotide_counts) == {0: (10, 10, 10, 0, 0), 1: (1, 1, 0, 1, 0), 2: (0,) * 5, 3: (0, 0, 0, 0, 1), 4: (None,) * 5}
+    assert len(by_doc(sequences.reverse_complement)) == 5
+    assert by_doc(sequences.translate_codons) == {0: ("T" * 10,) * 2, 1: ("Y", "Y"), 2: ("", ""), 3: ("", ""), 4: (None, None)}
+    assert by_doc(sequences.splice_type_case) == {0: ("GA", None, None, None)} | {k: (None,) * 4 for k in range(1, 5)}
+    scores = by_doc(sequences.pwm_score)
+    assert scores[0][0] is not None and scores[0][1] is None and all(scores[k] == (None, None) for k in range(1, 5))
+    kozak = by_doc(sequences.kozak_score)
+    assert kozak[0][0] is not None and all(kozak[k] == (None,) for k in range(1, 5))
+    assert sorted(by_doc(sequences.sliding_pwm_best)) == [0] and len(by_doc(sequences.phase_check)) == 5
+    assert by_doc(sequences.start_codon_best) == {} and by_doc(sequences.inframe_stops) == {}
