@@ -16,8 +16,8 @@ their share to the others.
 
 Rows and cases: a null text is an empty one (only the end id), a null source is
 the queue "", null ``doc_id`` and repeated rows are packed like any row, other
-columns are ignored, an empty table gives no piece.  Sources beyond
-``MAX_QUEUES`` are hashed into that many queues.
+columns are ignored, an empty table gives no piece.  Every source is a queue,
+at any number of them; the driver and each worker hold a count a source.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ from .sharding import prefix
 
 LENGTH = 2048
 WINDOW = 8 * LENGTH
-MAX_QUEUES = 256
+#: Counts of queues by window that are held at once.
+CELLS = 1 << 18
 
 
 class Mixture:
@@ -45,7 +46,12 @@ class Mixture:
             raise ValueError("weights must be positive")
         self.size = int(self.totals.sum())
         ends = np.unique(np.concatenate([[0.0], self.totals / self.weights]))
-        self.times, self.fluid = ends, np.minimum(ends[:, None] * self.weights, self.totals).sum(axis=1)
+        # Queues that end by a time have given all, the others what their weight gives.
+        last = np.argsort(self.totals / self.weights, kind="stable")
+        n = np.searchsorted((self.totals / self.weights)[last], ends, side="right")
+        given = np.concatenate([[0], np.cumsum(self.totals[last])])
+        open_weight = np.concatenate([np.cumsum(self.weights[last][::-1])[::-1], [0.0]])
+        self.times, self.fluid = ends, given[n] + ends * open_weight[n]
 
     def time(self, n: np.ndarray) -> np.ndarray:
         """When ``n`` ids would have been served if ids could be divided."""
@@ -58,15 +64,25 @@ class Mixture:
     def served(self, n: np.ndarray) -> np.ndarray:
         """Ids of each queue among the first ``n``: those due earliest, ties by queue."""
         n = np.minimum(np.asarray(n, dtype=np.int64), self.size)
-        early = self.time(np.maximum(n - len(self.totals), 0))
+        step = max(1, CELLS // max(1, len(self.totals)))
+        return np.concatenate([self._served(n[k : k + step]) for k in range(0, max(1, len(n)), step)])
+
+    def _served(self, n: np.ndarray) -> np.ndarray:
+        size = len(self.totals)
+        early, late = self.time(np.maximum(n - size, 0)), self.time(np.minimum(n + size, self.size))
         out = np.floor(early[:, None] * self.weights + 0.5).astype(np.int64) - 1
         out = np.clip(out, 0, self.totals)
-        left = n - out.sum(axis=1)
-        while (rows := np.flatnonzero(left > 0)).size:
-            due = np.where(out[rows] < self.totals, (out[rows] + 0.5) / self.weights, np.inf)
-            out[rows, due.argmin(axis=1)] += 1
-            left[rows] -= 1
-        return out
+        # Those that may follow, in order of their due times and queues: as many as are left.
+        ahead = np.clip(np.floor(late[:, None] * self.weights + 0.5).astype(np.int64) + 1, out, self.totals) - out
+        counts = ahead.ravel()
+        cell = np.repeat(np.arange(len(counts)), counts)
+        at = out.ravel()[cell] + np.arange(len(cell)) - np.repeat(np.cumsum(counts) - counts, counts)
+        row, queue = cell // max(1, size), cell % max(1, size)
+        order = np.lexsort((queue, (at + 0.5) / self.weights[queue], row))
+        rows = ahead.sum(axis=1)
+        rank = np.arange(len(cell)) - np.repeat(np.cumsum(rows) - rows, rows)
+        taken = cell[order[rank < np.repeat(n - out.sum(axis=1), rows)]]
+        return out + np.bincount(taken, minlength=out.size).reshape(out.shape)
 
 
 def place(mix: Mixture, queue: np.ndarray, start: np.ndarray, n: np.ndarray, window: int, length: int) -> dict[str, np.ndarray]:
@@ -81,17 +97,27 @@ def place(mix: Mixture, queue: np.ndarray, start: np.ndarray, n: np.ndarray, win
     row = np.repeat(np.arange(len(n)), count)
     turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + first[row]
     turns, at = np.unique(turn, return_inverse=True)
-    low, high = mix.served(turns * window), mix.served((turns + 1) * window)
-    # Queues stand in the order turn % size, turn % size + 1, ... of the window.
-    order = (np.arange(size)[None, :] + turns[:, None]) % size
-    share = np.take_along_axis(high - low, order, axis=1)
-    offset = np.empty_like(share)
-    np.put_along_axis(offset, order, np.cumsum(share, axis=1) - share, axis=1)
-    q = queue[row]
-    begin, end = np.maximum(start[row], low[at, q]), np.minimum((start + n)[row], high[at, q])
+    found = []
+    by_turn = np.argsort(at, kind="stable")
+    step = max(1, CELLS // size)
+    for k in range(0, len(turns), step):
+        mine = by_turn[np.searchsorted(at[by_turn], k) : np.searchsorted(at[by_turn], k + step)]
+        some = turns[k : k + step]
+        low, high = mix.served(some * window), mix.served((some + 1) * window)
+        # Queues stand in the order turn % size, turn % size + 1, ... of the window.
+        order = (np.arange(size)[None, :] + some[:, None]) % size
+        share = np.take_along_axis(high - low, order, axis=1)
+        offset = np.empty_like(share)
+        np.put_along_axis(offset, order, np.cumsum(share, axis=1) - share, axis=1)
+        q, nth = queue[row[mine]], at[mine] - k
+        found.append(np.stack([mine, low[nth, q], high[nth, q], offset[nth, q]]))
+    mine, low, high, offset = np.concatenate(found, axis=1)
+    back = np.argsort(mine)
+    low, high, offset = low[back], high[back], offset[back]
+    begin, end = np.maximum(start[row], low), np.minimum((start + n)[row], high)
     full = begin < end
-    row, begin, end, turn, at, q = (x[full] for x in (row, begin, end, turn, at, q))
-    spot = turn * window + offset[at, q] + begin - low[at, q]  # among all ids
+    row, begin, end, turn, low, offset = (x[full] for x in (row, begin, end, turn, low, offset))
+    spot = turn * window + offset + begin - low  # among all ids
     cuts = (spot + end - begin - 1) // length - spot // length + 1
     piece = np.repeat(np.arange(len(row)), cuts)
     nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
@@ -103,8 +129,6 @@ def place(mix: Mixture, queue: np.ndarray, start: np.ndarray, n: np.ndarray, win
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Staged ids: part, queue, doc_id, local (start in its part and queue), n, ids (16 or 32 bits each)."""
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    if docs.select(name.alias("q")).distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        name = F.concat(F.lit("hash "), (F.crc32(name) % MAX_QUEUES).cast("string"))
 
     def run(batches):
         from pyspark import TaskContext
@@ -138,7 +162,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, weights: dict[str, float]
     storage.small_batches(docs.sparkSession)
     staged = tokenize(docs, tokenizer, end_id)
     sums = storage.stage(staged.groupBy("part", "queue").agg(F.sum("n").alias("n")), "sums")
-    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # MAX_QUEUES rows at most
+    totals = {r.queue: r.n for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # a row a source
     queues = sorted(totals)
     mix = Mixture(np.array([totals[q] for q in queues]), None if weights is None else np.array([weights[q] for q in queues]))
     base = prefix(sums, "queue", "part", "n")

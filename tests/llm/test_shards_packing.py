@@ -107,3 +107,27 @@ def test_windows_hold_the_mixture_and_sequences_assemble(spark):
     assert all(len(r.ids) == 2048 for k, r in built.items() if k < len(built) - 1)
     parts = sorted((r.offset, bytes(r.ids)) for r in got if r.sequence_id == 0)
     assert np.array(built[0].ids).astype("<u4").tobytes() == b"".join(x for _, x in parts)
+
+
+def test_mixture_of_many_queues(monkeypatch):
+    monkeypatch.setattr(packing, "CELLS", 4000)
+    rng = np.random.default_rng(4)
+    totals = rng.integers(1, 40, 600)
+    totals[5] = 9000
+    for weights in (None, rng.random(600) + 0.1):
+        mix = packing.Mixture(totals, weights)
+        due = sorted(((i + 0.5) / mix.weights[q], q) for q in range(600) for i in range(totals[q]))
+        order = np.array([q for _, q in due])
+        n = np.arange(0, mix.size + 300, 997)
+        for k, got in zip(n, mix.served(n), strict=True):
+            assert (got == np.bincount(order[:k], minlength=600)).all()
+
+
+def test_every_source_is_a_queue_beyond_256(spark):
+    rows = [(k, "a b c " * (200 if k < 30 else 3), "big" if k < 30 else f"s{k}") for k in range(330)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for weights in (None, {s: 50.0 if s == "big" else 1.0 for _, _, s in rows}):
+        pieces = packing.pack(docs, path, 1, weights).collect()
+        assert {r.queue for r in pieces} == {s for _, _, s in rows}
+        check_pieces(pieces, [(k, t, None, s) for k, t, s in rows])
