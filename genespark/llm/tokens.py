@@ -4,7 +4,8 @@ The library encodes about 3 MB of text a second.  Words repeat, so a text is cut
 into the words of the tokenizer's own pre-tokenizer, and each distinct word is
 encoded once per Python worker and kept as the bytes of its ids.  The cut is done
 here only for texts of characters whose classes are beyond doubt (up to U+017F,
-with a few exceptions); any other text goes to the tokenizer as it is.
+with a few exceptions) that hold none of the tokenizer's added tokens; any other
+text goes to the tokenizer as it is.
 """
 
 from __future__ import annotations
@@ -54,12 +55,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # ours does that
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.cut = cut_of(spec)
+        self.added = added_of(spec)
+        self.cut = "whole" if self.added is None else cut_of(spec)
         self.cache = Cache()
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
@@ -74,6 +75,13 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.asarray(found[0].ids, dtype="<u4")
 
+    def has_added(self, text: str) -> bool:
+        """Whether an added token may stand in the text, in whatever case."""
+        for plain, content in self.added:
+            if plain in text and content in text.lower():
+                return True
+        return False
+
     def width(self, end_id: int) -> int:
         """Bytes that hold any id."""
         return 2 if max(self.size, end_id + 1) <= 1 << 16 else 4
@@ -94,7 +102,7 @@ class Encoder:
         find = SPACE.findall if self.cut == "space" else WORDS.findall
         split: list[list[str] | None] = []
         for text in texts:
-            if self.cut == "whole" or is_odd(text):
+            if self.cut == "whole" or is_odd(text) or self.has_added(text):
                 split.append(None)
             else:
                 split.append(find(text if self.cut == "space" else text.lower()))
@@ -147,6 +155,18 @@ class Cache(dict):
         self.pending.add(word)
 
 
+def added_of(spec: dict) -> list[tuple[str, str]] | None:
+    """Added tokens in lower case, each after its longest part without letters; None if one could arise between joined words."""
+    out = []
+    for token in spec.get("added_tokens") or []:
+        content = token["content"].lower()
+        plain = max(re.split(r"[^\W_]|\s", content), key=len)
+        if not plain or re.search(r"\s", content):
+            return None
+        out.append((plain, content))
+    return out
+
+
 def cut_of(spec: dict) -> str:
     """Where texts may be cut for this tokenizer file; see Encoder."""
     normalizer, split = spec.get("normalizer"), spec.get("pre_tokenizer") or {}

@@ -19,6 +19,18 @@ def test_encoder_equals_the_tokenizer(name):
         assert encoder.encode(texts) == [encoder.ids(t).tobytes() for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_added_tokens_as_the_plain_library_reads_them(name):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    contents = [t.content for t in plain.get_added_tokens_decoder().values()]
+    texts = [f(c) for c in contents for f in (str, str.upper, "a {} b".format, "x{0}{0}y z".format, "é {}".format, lambda c: c[:-1] + " " + c[-1:])] + ["plain text", "a <| b |> c"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert contents and [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+
+
 def kraft(lengths):
     return sum(2.0 ** -int(n) for n in lengths if n)
 
