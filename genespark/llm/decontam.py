@@ -113,7 +113,12 @@ class Matcher:
                         break
             if best:
                 out.append((item_id, *best))
-        return sorted(out)
+        return sorted(out, key=by_id)
+
+
+def by_id(found: tuple) -> tuple:
+    """Order by item id, null first."""
+    return found[0] is not None, found[0] or 0, *found[1:]
 
 
 def merged(windows: list[list[int]]) -> list[list[int]]:
@@ -140,7 +145,7 @@ def slices(benchmark: DataFrame) -> list[tuple[tuple[int, str], ...]]:
     out = []
     for k in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct().collect()
-        items = sorted((r.item_id, text) for r in part if r.item_id is not None and (text := normalise(r.text)))
+        items = sorted(((r.item_id, text) for r in part if (text := normalise(r.text))), key=by_id)
         if items:
             out.append(tuple(items))
     return out

@@ -109,3 +109,11 @@ def test_notices_within_lines_over_lines_and_headers(spark):
     got = sorted((r.doc_id, r.line_no, r.license, r.dice) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     want = [(0, 0, "MIT"), (1, 0, "MIT"), (2, 1, "CC-BY-NC-4.0"), (3, 0, "MIT"), (4, 2, "MIT"), (5, 1, "GPL-2.0"), (6, 0, "BSD-3-Clause"), (7, 0, "BSD-2-Clause"), (8, 0, "MIT OR Apache-2.0"), (9, 0, "Apache-2.0"), (9, 0, "MIT"), (10, 0, "MIT"), (10, 1, "MIT")]
     assert [x[:3] for x in got] == want and all(x[3] == 1 for x in got)
+
+
+def test_items_without_an_id_count(spark):
+    passage = "a passage of the benchmark that stands in a document"
+    docs = spark.createDataFrame([(1, f"Well, {passage}."), (2, "nothing of the kind")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (None, "another text of it"), (4, "a third one of them")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.distance) for r in decontam.matches(docs, bench).collect()] == [(1, None, 0)]
+    assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [2]
