@@ -9,11 +9,13 @@ found by rendering the same prefix with a sentinel in place of its text.
 
 A template that declares ``lookback`` says on how many earlier turns a turn's
 rendering depends; prefixes are then rendered from there on, which keeps a long
-conversation linear.  Without it whole prefixes are rendered.
+conversation linear.  The claim is checked: after 1, 2, 4, 8, ... turns and at the
+end the whole prefix is rendered and must be the text so far, else an error is
+raised.  Without it whole prefixes are rendered.
 
 Turns are ordered by ``turn``, then role and text.  Conversations stream through a
-task: a segment of bounded size is written as soon as it is full, so a
-conversation of any length needs little memory.
+task: a segment of bounded size is written as soon as it is full; only the turns of
+one conversation are held, for the check.
 
 Rows and cases: null text is an empty one, a null role is "", null ``conv_id`` is
 a conversation of its own, repeated rows are turns of their own, other columns are
@@ -95,6 +97,13 @@ def render_conversation(template: Template, turns: Iterator[Turn], loss_roles: f
     shorter: str | None = None
     text, marks, rewritten, n = [], [], [], 0
     size = 0
+    seen: list[Turn] = []
+    so_far = None if template.lookback is None else hashlib.sha256()
+
+    def check():
+        if so_far is not None and hashlib.sha256(template.render(seen).encode()).digest() != so_far.digest():
+            raise ValueError(f"the template looks back on more turns than {template.lookback}")
+
     for turn in turns:
         if size >= SEGMENT:
             yield {"text": "".join(text), "turns": marks, "rewritten": rewritten, "last": False}
@@ -112,6 +121,15 @@ def render_conversation(template: Template, turns: Iterator[Turn], loss_roles: f
         else:
             before, shorter = before[len(before) - template.lookback :], None
         n += 1
+        if found["rewritten"]:
+            so_far, seen = None, []  # marked; the text so far no longer holds
+        if so_far is not None:
+            seen.append(turn)
+            so_far.update(found["added"].encode())
+            if n & (n - 1) == 0:
+                check()
+    if n & (n - 1):
+        check()
     yield {"text": "".join(text), "turns": marks, "rewritten": rewritten, "last": True}
 
 

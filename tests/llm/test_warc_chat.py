@@ -2,6 +2,8 @@ import gzip
 import hashlib
 import io
 
+import pytest
+
 from genespark.llm import chat, storage, warc
 
 
@@ -95,3 +97,16 @@ def test_files_round_trip(spark, monkeypatch):
     empty = storage.scratch(spark, "c")
     chat.write(frame.limit(0), empty)
     assert chat.read(spark, empty).count() == 0
+
+
+def test_a_false_lookback_is_found():
+    class Counting(chat.Marked):
+        def render(self, turns):
+            head = "many\n" if len(turns) > 2 else ""
+            return head + super().render(turns)
+
+    turns = [("user", f"t{k}") for k in range(5)]
+    assert len(list(chat.render_conversation(chat.Marked(), iter(turns), frozenset()))) == 1
+    for n in (3, 4, 5):
+        with pytest.raises(ValueError, match="looks back"):
+            list(chat.render_conversation(Counting(), iter(turns[:n]), frozenset()))
