@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The standard genetic code for bases in the order T, C, A, G.
@@ -30,8 +31,16 @@ DONOR = [
     [0.20, 0.10, 0.20, 0.50],
 ]
 ACCEPTOR = [
-    *([[0.15, 0.35, 0.15, 0.35]] * 7),
-    *([[0.12, 0.38, 0.12, 0.38]] * 3),
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.15, 0.35, 0.15, 0.35],
+    [0.12, 0.38, 0.12, 0.38],
+    [0.12, 0.38, 0.12, 0.38],
+    [0.12, 0.38, 0.12, 0.38],
     [0.15, 0.40, 0.10, 0.35],
     [0.25, 0.25, 0.25, 0.25],
     [0.15, 0.60, 0.10, 0.15],
@@ -160,6 +169,49 @@ def pwm_score(seq: Column, matrix: list[list[float]], background: list[float] |
     return F.when(F.length(seq) == len(matrix), total)
 
 
+def sliding(rows: DataFrame, keys: list[str], matrix: list[list[float]], column: str = "seq", step: int = 1) -> DataFrame:
+    """Scores at all places of sequences, every ``step`` bases: keys, at, score.
+
+    All windows of a sequence are cut in one pass, by a pattern that looks ahead.
+    """
+    windows = F.regexp_extract_all(column, F.lit(f"(?=(.{{{len(matrix)}}}))"), 1)
+    places = rows.select(*keys, F.posexplode(windows).alias("at", "__window"))
+    if step > 1:
+        places = places.filter(F.col("at") % step == 0)
+    return places.select(*keys, "at", pwm_score(F.col("__window"), matrix).alias("score"))
+
+
+def build_pwm(sites: DataFrame, column: str = "site", pseudocount: float = 0.1) -> DataFrame:
+    """Base probabilities by position (from 1) of aligned sites of one length: pos, base, p, a row a position and base.
+
+    Other letters count for nothing; the counts are pre-aggregated where the sites are.
+    """
+    letters = sites.select(F.posexplode(F.split(F.upper(column), "")).alias("pos", "base")).filter(F.col("base") != "")
+    found = letters.groupBy("pos").agg(*(F.count_if(F.col("base") == b).alias(b) for b in "ACGT"))
+    total = sum((F.col(b) for b in "ACGT"), F.lit(0)) + 4 * pseudocount
+    cells = F.explode(F.array(*(F.struct(F.lit(b).alias("base"), ((F.col(b) + pseudocount) / total).alias("p")) for b in "ACGT")))
+    return found.select((F.col("pos") + 1).alias("pos"), cells.alias("c")).select("pos", "c.base", "c.p")
+
+
+def pwm_to_json(pwm: DataFrame, site_type: str) -> str:
+    """A built matrix (a few rows) as JSON: type, and a row of four probabilities for each position."""
+    rows = pwm.groupBy("pos").pivot("base", list("ACGT")).agg(F.first("p")).orderBy("pos").collect()
+    return json.dumps({"type": site_type, "bases": "ACGT", "matrix": [[r[b] for b in "ACGT"] for r in rows]})
+
+
+def pwm_from_json(text: str | None, site_type: str) -> list[list[float]]:
+    """The matrix of a JSON text, or the built-in one for ``donor`` or ``acceptor`` if there is none.
+
+    Raises an error if a row lacks four numbers.
+    """
+    if not text:
+        return {"donor": DONOR, "acceptor": ACCEPTOR}[site_type]
+    matrix = json.loads(text)["matrix"]
+    if any(len(row) != 4 for row in matrix):
+        raise ValueError("a row of a matrix has four probabilities")
+    return [[float(x) for x in row] for row in matrix]
+
+
 def donor_window(seq: Column, at: Column) -> Column:
     """Three exon and six intron bases around a donor; null out of bounds."""
     return F.when((at >= 3) & (at + 6 <= F.length(seq)), F.substr(seq, (at - 2).cast("int"), F.lit(9)))

@@ -14,7 +14,7 @@ from ..functions import dna
 
 def start_score(context: Column, position: Column, current: Column, window: int) -> Column:
     """0.6 of the context score and 0.4 of the closeness."""
-    return 0.6 * dna.kozak_score(context) + 0.4 * (1 - F.abs(position - current) / (2.0 * window))
+    return 0.6 * dna.kozak_score(context) + 0.4 * (1 - F.abs(position - current) / (F.lit(2.0) * window))
 
 
 def start_in(piece: Column, low: Column, high: Column, strand: Column, current: Column, window: int = 30) -> Column:
@@ -99,3 +99,41 @@ def shift_stop(cds: Column, exons: Column, strand: Column, shift: Column, correc
     """struct<cds, exons> with the coding end moved."""
     sign = F.when(strand == "+", 1).otherwise(1 if corrected else -1)
     return _shift(cds, exons, strand != "+", shift * sign, False)
+
+
+def start_list(piece: Column, low: Column, high: Column, strand: Column, current: Column) -> Column:
+    """Start codons of a piece, best context first: array of struct<position, codon, score, in_frame>.
+
+    Of equal scores those first in reading direction come first.
+    """
+    places = dna.find_codons(piece, dna.STARTS, F.lit(3), F.length(piece) - 5)
+    context = lambda i: F.substr(piece, (i - 2).cast("int"), F.lit(7))
+    position = lambda i: F.when(strand == "-", high - i - 3).otherwise(low + i).cast("long")
+    rows = F.transform(places, lambda i: F.struct((-dna.kozak_score(context(i))).alias("minus"), i.alias("at")))
+    return F.transform(F.array_sort(rows), lambda r: F.struct(position(r["at"]).alias("position"), F.substr(piece, (r["at"] + 1).cast("int"), F.lit(3)).alias("codon"), (-r["minus"]).alias("score"), (F.pmod(position(r["at"]) - current, F.lit(3)) == 0).alias("in_frame")))
+
+
+def changes(old: Column, new: Column) -> Column:
+    """What a boundary run changed: ``start_shifted:n`` and ``end_shifted:n`` by the outer ends of sorted segments."""
+    low = lambda parts: F.array_min(F.transform(parts, lambda p: p["start"]))
+    high = lambda parts: F.array_max(F.transform(parts, lambda p: p["end"]))
+    note = lambda name, n: F.when(n != 0, F.concat(F.lit(f"{name}:"), n.cast("string")))
+    marks = F.array(note("start_shifted", low(new) - low(old)), note("end_shifted", high(new) - high(old)))
+    return F.filter(marks, lambda x: x.isNotNull())
+
+
+def is_stop(codon: Column) -> Column:
+    """Whether three bases, read on the strand, are a stop codon."""
+    return F.upper(codon).isin(*dna.STOPS)
+
+
+def phase_errors(cds: Column, strand: Column, start_codon: Column, stop_codon: Column) -> Column:
+    """Errors of a coding region: struct<phases, whole, has_start, has_stop>.
+
+    ``phases`` are the numbers (in reading direction) of segments whose phase isn't the
+    coding length before them modulo 3; ``whole`` tells whether the length is a multiple of 3.
+    """
+    ordered = F.when(strand == "-", F.reverse(F.array_sort(cds))).otherwise(F.array_sort(cds))
+    step = lambda s, p: F.struct((s["n"] + p["end"] - p["start"]).alias("n"), (s["k"] + 1).alias("k"), F.when(p["phase"] != s["n"] % 3, F.concat(s["bad"], F.array(s["k"]))).otherwise(s["bad"]).alias("bad"))
+    empty = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("k"), F.array().cast("array<int>").alias("bad"))
+    return F.aggregate(ordered, empty, step, lambda s: F.struct(s["bad"].alias("phases"), (s["n"] % 3 == 0).alias("whole"), F.upper(start_codon).isin(*dna.STARTS).alias("has_start"), is_stop(stop_codon).alias("has_stop")))

@@ -35,15 +35,18 @@ def structure(exons: Column, cds: Column) -> dict[str, Column]:
     return {"n_exons": F.size(exons), "n_cds": F.size(cds), "transcript_length": total(exons), "cds_length": total(cds)}
 
 
-def coding_sequences(transcripts: DataFrame, records: DataFrame) -> DataFrame:
+def coding_sequences(transcripts: DataFrame, blocks: DataFrame, size: int = 1 << 20) -> DataFrame:
     """transcript_id, gene_id and the coding sequence: segments in transcript order, phase ignored.
 
-    ``records`` holds seqid and seq; a scaffold's transcripts meet it in one join.
+    ``blocks`` holds the genome in blocks of ``size`` (seqid, block_start, seq), so a
+    segment meets only the blocks it touches.
     """
+    from ..sources.readers import subsequences
+
     parts = transcripts.select("transcript_id", "gene_id", "seqid", "strand", F.posexplode(F.array_sort("cds")).alias("k", "c"))
-    cut = parts.join(records.select("seqid", "seq"), "seqid").withColumn("s", dna.stranded(F.substr("seq", (F.col("c.start") + 1).cast("int"), (F.col("c.end") - F.col("c.start")).cast("int")), F.col("strand")))
+    cut = subsequences(parts.select("transcript_id", "gene_id", "seqid", "strand", "k", "c.start", "c.end"), blocks, ["transcript_id", "gene_id", "strand", "k"], size)
     order = F.when(F.col("strand") == "-", -F.col("k")).otherwise(F.col("k"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), "s"))), lambda p: p["s"]), "")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), dna.stranded(F.col("seq"), F.col("strand")).alias("s")))), lambda p: p["s"]), "")
     return cut.groupBy("transcript_id", "gene_id").agg(joined.alias("seq"))
 
 

@@ -38,10 +38,10 @@ def significant(hits: DataFrame, limits: Thresholds = DEFAULT) -> DataFrame:
 
 
 def best_hits(hits: DataFrame, keys: list[str], order: str = "ord") -> DataFrame:
-    """Per query the hit with the least e-value (the first on a tie), hits and subjects."""
+    """Per query the hit with the least e-value (the first on a tie), hits and subjects, and where its hits begin (first_ord)."""
     rest = [c for c in hits.columns if c not in keys]
-    found = hits.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("evalue", order)).alias("__b"), F.count("*").alias("n_hits"), F.countDistinct("subject_id").alias("n_subjects"))
-    return found.select(*keys, "n_hits", "n_subjects", "__b.*")
+    found = hits.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("evalue", order)).alias("__b"), F.count("*").alias("n_hits"), F.countDistinct("subject_id").alias("n_subjects"), F.min(order).alias("first_ord"))
+    return found.select(*keys, "n_hits", "n_subjects", "first_ord", "__b.*")
 
 
 def status(query_coverage: Column, subject_coverage: Column, limits: Thresholds = DEFAULT) -> Column:
@@ -57,27 +57,32 @@ def precedence(base: Column, chimeric: Column, te: Column, fragmented: Column) -
 def chimeras(hits: DataFrame, query: str = "query_id", corrected: bool = False) -> DataFrame:
     """First pair of neighbouring hits of a query to different subjects that hardly overlap.
 
-    Per subject the hit with the best e-value counts.  A gap of any size qualifies;
-    with ``corrected`` only one without overlap beyond the limit on either side.
+    Per subject the hit with the best e-value counts; hits that begin at the same place
+    stand in the order in which their subjects first come.  A gap of any size qualifies;
+    with ``corrected`` only one without overlap beyond the limit on either side.  ``gap``
+    and ``overlap`` are both 0 or more.
     """
-    best = best_hits(hits, [query, "subject_id"]).select(query, "subject_id", "query_start", "query_end", "identity")
-    order = Window.partitionBy(query).orderBy("query_start", "query_end", "subject_id")
-    pair = best.select(query, F.col("subject_id").alias("subject_a"), F.lead("subject_id").over(order).alias("subject_b"), F.col("query_start").alias("at"), (F.lead("query_start").over(order) - F.col("query_end")).alias("gap"), ((F.col("identity") + F.lead("identity").over(order)) / 2).alias("identity"))
-    pair = pair.filter(F.col("subject_b").isNotNull() & (F.greatest(F.lit(0), -F.col("gap")) <= (0 if corrected else CHIMERA_OVERLAP)))
-    rest = ["subject_a", "subject_b", "gap", "identity"]
-    return pair.groupBy(query).agg(F.min_by(F.struct(*rest), F.struct("at", "subject_a")).alias("p")).select(query, "p.subject_a", "p.subject_b", "p.gap", F.least(F.lit(1.0), F.col("p.identity") / 100).alias("confidence"))
+    best = best_hits(hits, [query, "subject_id"]).select(query, "subject_id", "query_start", "query_end", "identity", "first_ord")
+    order = Window.partitionBy(query).orderBy("query_start", "first_ord")
+    pair = best.select(query, F.col("subject_id").alias("subject_a"), F.lead("subject_id").over(order).alias("subject_b"), F.struct("query_start", "first_ord").alias("at"), (F.lead("query_start").over(order) - F.col("query_end")).alias("gap"), ((F.col("identity") + F.lead("identity").over(order)) / 2).alias("identity"))
+    zero = F.lit(0)
+    pair = pair.withColumn("overlap", F.greatest(zero, -F.col("gap"))).filter(F.col("subject_b").isNotNull() & (F.col("overlap") <= (0 if corrected else CHIMERA_OVERLAP)))
+    rest = ["subject_a", "subject_b", "gap", "overlap", "identity"]
+    found = pair.groupBy(query).agg(F.min_by(F.struct(*rest), "at").alias("p"))
+    return found.select(query, "p.subject_a", "p.subject_b", F.greatest(zero, F.col("p.gap")).alias("gap"), "p.overlap", F.least(F.lit(1.0), F.col("p.identity") / 100).alias("confidence"))
 
 
 def fragments(hits: DataFrame, query: str = "query_id") -> DataFrame:
     """Best hits of queries to a subject that may be pieces of it: subject_id, query, subject_start, subject_end, subject_length.
 
     A query takes part if its best hit meets the next one with an overlap within
-    the limit; the last hit of a subject always does.
+    the limit; the last hit of a subject always does.  Hits that begin at the same place
+    stand in the order of the file.
     """
-    best = best_hits(hits, ["subject_id", query]).select("subject_id", query, "subject_start", "subject_end", "subject_length")
-    order = Window.partitionBy("subject_id").orderBy("subject_start", "subject_end", query)
+    best = best_hits(hits, ["subject_id", query]).select("subject_id", query, "subject_start", "subject_end", "subject_length", "first_ord")
+    order = Window.partitionBy("subject_id").orderBy("subject_start", "first_ord", query)
     follow = F.lead("subject_start").over(order)
-    return best.withColumn("follow", follow).filter(F.col("follow").isNull() | (F.col("subject_end") - F.col("follow") <= FRAGMENT_OVERLAP)).drop("follow")
+    return best.withColumn("follow", follow).filter(F.col("follow").isNull() | (F.col("subject_end") - F.col("follow") <= FRAGMENT_OVERLAP)).drop("follow", "first_ord")
 
 
 def fragment_groups(hits: DataFrame, query: str = "query_id", least: float = FRAGMENT_COVERAGE) -> DataFrame:

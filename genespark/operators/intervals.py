@@ -101,20 +101,42 @@ def run_stats(runs: DataFrame, keys: list[str]) -> DataFrame:
     return runs.groupBy(*keys).agg((F.sum(F.col("depth") * n) / F.sum(n)).alias("mean_depth"), F.max("depth").alias("max_depth"), F.min("depth").alias("min_depth"))
 
 
-def islands(df: DataFrame, keys: list[str], at: str, value: str, below: float, least: int) -> DataFrame:
-    """Runs of consecutive positions with a value under ``below``, of at least ``least`` positions."""
-    low = df.filter(F.col(value) < below)
-    group = F.col(at) - F.row_number().over(Window.partitionBy(*keys).orderBy(at))
-    found = low.withColumn("__run", group).groupBy(*keys, "__run").agg(F.min(at).alias("start"), (F.max(at) + 1).alias("end"), F.avg(value).alias("score"))
-    return found.filter(F.col("end") - F.col("start") >= least).drop("__run")
-
-
-def smooth(df: DataFrame, keys: list[str], at: str, value: str, window: int = 20) -> DataFrame:
-    """Zero-padded moving mean over ``window`` positions; shorter signals stay as they are."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    total = F.sum(value).over(order.rowsBetween(-(window // 2), window - window // 2 - 1))
-    n = F.count("*").over(Window.partitionBy(*keys))
-    return df.withColumn("smoothed", F.when(n < window, F.col(value)).otherwise(total / window))
+def islands(df: DataFrame, keys: list[str], at: str, value: str, below: float, least: int, size: int = BIN) -> DataFrame:
+    """Runs of consecutive positions with a value under ``below``, of at least ``least`` positions: start, end, score.
+
+    Runs are found inside bins; those that touch at bin ends are joined in a table of
+    the bins' runs, so a long scaffold isn't sorted in one task.
+    """
+    low = df.filter(F.col(value) < below).withColumn("__bin", F.floor(F.col(at) / size))
+    group = F.col(at) - F.row_number().over(Window.partitionBy(*keys, "__bin").orderBy(at))
+    parts = low.withColumn("__run", group).groupBy(*keys, "__bin", "__run").agg(F.min(at).alias("start"), (F.max(at) + 1).alias("end"), F.sum(value).alias("__sum"))
+    # Inner runs are whole; only those at an end of their bin can go on in the next one.
+    edge = (F.col("start") % size == 0) | (F.col("end") % size == 0)
+    inner = parts.filter(~edge).select(*keys, "start", "end", "__sum")
+    order = Window.partitionBy(*keys).orderBy("start")
+    touching = parts.filter(edge)
+    marked = touching.withColumn("__new", F.when(F.lag("end").over(order) == F.col("start"), 0).otherwise(1))
+    marked = marked.withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = marked.groupBy(*keys, "__island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("__sum").alias("__sum")).drop("__island")
+    found = inner.unionByName(joined).withColumn("score", F.col("__sum") / (F.col("end") - F.col("start"))).drop("__sum")
+    return found.filter(F.col("end") - F.col("start") >= least)
+
+
+def smooth(df: DataFrame, keys: list[str], at: str, value: str, window: int = 20, size: int = BIN) -> DataFrame:
+    """Zero-padded moving mean over ``window`` positions; shorter signals stay as they are.
+
+    Needs a row for each position.  Bins get the few positions that they share with
+    their neighbours, so the window function runs inside a bin.
+    """
+    before, after = window // 2, window - window // 2 - 1
+    spread = F.sequence(F.floor((F.col(at) - after) / size), F.floor((F.col(at) + before) / size))
+    wide = df.withColumn("__home", F.floor(F.col(at) / size)).withColumn("__bin", F.explode(spread))
+    order = Window.partitionBy(*keys, "__bin").orderBy(at)
+    total = F.sum(value).over(order.rowsBetween(-before, after))
+    own = wide.withColumn("__total", total).filter(F.col("__bin") == F.col("__home")).drop("__bin", "__home")
+    n = df.groupBy(*keys).agg(F.count("*").alias("__n"))  # a row a signal
+    found = own.join(n, keys) if keys else own.join(F.broadcast(n), F.lit(True))
+    return found.withColumn("smoothed", F.when(F.col("__n") < window, F.col(value)).otherwise(F.col("__total") / window)).drop("__n", "__total")
 
 
 def introns(exons: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:

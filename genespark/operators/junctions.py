@@ -55,3 +55,52 @@ def nearest(introns: DataFrame, junctions: DataFrame, tolerance: int, keys: list
     row = F.struct(shift.alias("shift"), "junction_start", "junction_end", "junction_reads")
     best = met.groupBy(*keys).agg(F.min(row).alias("__b")).select(*keys, "__b.*")
     return introns.join(best, keys, "left")
+
+
+def first_match(introns: DataFrame, junctions: DataFrame, tolerance: int, keys: list[str]) -> DataFrame:
+    """For each intron the first junction (smallest ``ord``) within the tolerance on its strand or an unknown one.
+
+    With a tolerance of 0 the junction at the same place, whatever its strand; of equal
+    places the last counts.  Introns without one keep nulls.
+    """
+    places = junctions.groupBy(*KEY).agg(F.max_by(F.struct("strand", "reads"), "ord").alias("__l"), F.min("ord").alias("ord")).select(*KEY, "__l.*", "ord")
+    found = places.select("seqid", F.col("start").alias("junction_start"), F.col("end").alias("junction_end"), F.col("strand").alias("junction_strand"), F.col("reads").alias("junction_reads"), "ord")
+    met = band_join(introns, found, ["seqid"], "intron_start", "junction_start", tolerance).filter(F.abs(F.col("intron_end") - F.col("junction_end")) <= tolerance)
+    if tolerance:
+        met = met.filter((F.col("junction_strand") == F.col("strand")) | (F.col("junction_strand") == "."))
+    best = met.groupBy(*keys).agg(F.min_by(F.struct("junction_start", "junction_end", "junction_strand", "junction_reads"), "ord").alias("__b")).select(*keys, "__b.*")
+    return introns.join(best, keys, "left")
+
+
+def collapsed(samples: DataFrame) -> DataFrame:
+    """Junctions over samples (as ``multi_sample`` gives them) in the form of one sample's: reads and unique reads are the totals."""
+    return samples.select(*KEY, "strand", F.col("total_reads").alias("reads"), F.col("total_reads").alias("unique_reads"))
+
+
+def union(*tables: DataFrame) -> DataFrame:
+    """All rows of several junction tables one after the other; nothing is summed, ``ord`` tells their order."""
+    out = None
+    for k, rows in enumerate(tables):
+        own = rows.select(*KEY, "strand", "reads", F.struct(F.lit(k).alias("source"), F.monotonically_increasing_id().alias("row")).alias("ord"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def load(alignments: list[DataFrame], files: list[DataFrame], least_samples: int = 1) -> DataFrame:
+    """Junctions of alignment samples and of junction files (seqid, start, end, strand, reads each).
+
+    One table of a kind is taken as it is; several are summed over samples, and a
+    junction needs a read in ``least_samples`` of them.  Those of the files follow those
+    of the alignments without being summed with them.
+    """
+
+    def merged(tables: list[DataFrame]) -> DataFrame:
+        if len(tables) == 1:
+            return tables[0]
+        counts = None
+        for k, rows in enumerate(tables):
+            own = rows.select(*KEY, "strand", "reads", F.lit(k).alias("sample"))
+            counts = own if counts is None else counts.unionByName(own)
+        return collapsed(multi_sample(counts, 1, least_samples))
+
+    return union(*(merged(tables) for tables in (alignments, files) if tables))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bytes that a base of a chunk takes in the memory model.
+BYTES_PER_BASE = 20
+
 
 def size_chunks(scaffolds: DataFrame, size: int, least: int) -> DataFrame:
     """Chunks of ``size``; a tail under ``least`` goes to the chunk before it.
@@ -18,6 +23,86 @@ def size_chunks(scaffolds: DataFrame, size: int, least: int) -> DataFrame:
     return rows.withColumn("chunk_id", F.format_string("chunk_%04d", number))
 
 
+def scaffold_chunks(scaffolds: DataFrame, most: int | None = None) -> DataFrame:
+    """A chunk for each scaffold; one longer than ``most`` is cut into pieces of that size."""
+    size = F.col("length") if most is None else F.lit(most)
+    n = F.lit(1) if most is None else F.greatest(F.lit(1), F.ceil(F.col("length") / most))
+    rows = scaffolds.select("seqid", "ord", "length", F.explode(F.sequence(F.lit(0), n.cast("int") - 1)).alias("k"))
+    rows = rows.select("seqid", "ord", (F.col("k").cast("long") * size).alias("start"), F.least(F.col("length"), (F.col("k").cast("long") + 1) * size).alias("end"))
+    number = F.row_number().over(Window.orderBy("ord", "start")) - 1  # a row a chunk: a plan, not the data
+    return rows.withColumn("chunk_id", F.format_string("chunk_%04d", number))
+
+
+def chunk(chunks: DataFrame, chunk_id: str) -> DataFrame:
+    """The chunk with an id, or no row."""
+    return chunks.filter(F.col("chunk_id") == chunk_id)
+
+
+def chunk_at(chunks: DataFrame, place: int) -> DataFrame:
+    """The chunk at a place of the plan (from 0), the one that an array task of this number works on."""
+    return chunks.orderBy("chunk_id").offset(place).limit(1)
+
+
+def commands(chunks: DataFrame, template: str, extra: dict[str, str] | None = None, log_dir: str | None = None) -> DataFrame:
+    """chunk_id and the command of each chunk.
+
+    Known names in braces: chunk_id, seqid, start and end (1-based, inclusive), start_0
+    and end_0 (half-open), size, and those of ``extra``; any other is an error.
+    """
+    text = lambda c: c.cast("string")
+    start, end = F.col("start"), F.col("end")
+    values = {"chunk_id": F.col("chunk_id"), "seqid": text(F.col("seqid")), "start": text(start + 1), "end": text(end), "start_0": text(start), "end_0": text(end), "size": text(end - start)}
+    values |= {k: F.lit(v) for k, v in (extra or {}).items()}
+    parts = re.split(r"\{(\w+)\}", template)
+    unknown = set(parts[1::2]) - values.keys()
+    if unknown:
+        raise KeyError(f"unknown names in the template: {sorted(unknown)}")
+    command = F.concat(*(F.lit(p) if k % 2 == 0 else values[p] for k, p in enumerate(parts)))
+    if log_dir is not None:
+        command = F.concat(command, F.lit(f" > {log_dir}/"), F.col("chunk_id"), F.lit(".log 2>&1"))
+    return chunks.select("chunk_id", command.alias("command"))
+
+
+def wrapped_commands(chunks: DataFrame, script: str) -> DataFrame:
+    """Commands that hand a chunk's id to a script."""
+    return chunks.select("chunk_id", F.concat(F.lit(f"bash {script} "), F.col("chunk_id")).alias("command"))
+
+
+def memory_bytes(start: Column, end: Column) -> Column:
+    """Memory of a chunk by the usual model."""
+    return (end - start) * BYTES_PER_BASE
+
+
+def memory_mb(text: Column) -> Column:
+    """MB of a memory string: 16G, 16000M, 1024K or a plain number of MB; null if it is none of these."""
+    value = F.upper(F.trim(text))
+    number = F.regexp_replace(value, "[GMK]$", "")
+    whole = number.try_cast("long")
+    return F.when(value.endswith("G"), (number.try_cast("double") * 1024).cast("long")).when(value.endswith("K"), (number.try_cast("double") / 1024).cast("long")).otherwise(whole)
+
+
+def merge_gff(lines: DataFrame) -> DataFrame:
+    """Lines (file, line_no, value) of several files as one: a single version line first, no separators.
+
+    Returns ord and value; ``write_merged`` writes them.
+    """
+    version, mark = F.col("value").startswith("##gff-version"), F.col("value").startswith("###")
+    first = lines.filter(version).groupBy().agg(F.min_by("value", F.struct("file", "line_no")).alias("value")).filter("value IS NOT NULL")
+    place = F.struct("file", "line_no").alias("ord")
+    rest = lines.filter(~version & ~mark).select(place, "value")
+    head = first.select(F.struct(F.lit("").alias("file"), F.lit(-1).cast("long").alias("line_no")).alias("ord"), "value")
+    return head.unionByName(rest)
+
+
+def merge_tables(lines: DataFrame) -> DataFrame:
+    """Lines of several tables as one: the header of the first file, the other rows of all, as ord and value."""
+    place = F.struct("file", "line_no")
+    heads = lines.groupBy("file").agg(F.min("line_no").alias("__head"))  # a row a file
+    first = heads.agg(F.min("file").alias("__first"))
+    met = lines.join(heads, "file").join(F.broadcast(first), F.lit(True))  # one row
+    return met.filter((F.col("line_no") != F.col("__head")) | (F.col("file") == F.col("__first"))).select(place.alias("ord"), "value")
+
+
 def gene_batches(genes: DataFrame, size: int) -> DataFrame:
     """Batches of ``size`` genes in order on each scaffold: seqid, batch, n_genes, start, end."""
     place = F.row_number().over(Window.partitionBy("seqid").orderBy("start", "end", "gene")) - 1
@@ -62,6 +147,28 @@ def carry_forward(lines: DataFrame, order: str, value: str, part: list[str] | No
     return met.withColumn(value, F.coalesce(value, "__before")).select(*lines.columns)
 
 
+def execution_statistics(tasks: DataFrame) -> DataFrame:
+    """One row over tasks (ok, seconds): their number, those that succeeded and failed, total and mean time, rate."""
+    ok = F.col("ok")
+    n = F.count("*")
+    return tasks.agg(n.alias("n_tasks"), F.count_if(ok).alias("n_ok"), F.count_if(~ok).alias("n_failed"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("total_seconds"), F.avg("seconds").alias("mean_seconds"), F.when(n > 0, F.count_if(ok) / n).otherwise(0.0).alias("success_rate"))
+
+
+def parallelism(n_chunks: int, cores: int) -> int:
+    """Tasks at once: no more than chunks or cores, half the cores for two to four chunks a core."""
+    if n_chunks > 4 * cores:
+        return cores
+    if n_chunks > 2 * cores:
+        return max(1, cores // 2)
+    return min(n_chunks, cores)
+
+
+def workers(cores: int, available_mb: float | None = None, per_worker_mb: int = 1000, most: int | None = None) -> int:
+    """Workers that cores and memory allow, one at least."""
+    found = cores if most is None else min(most, cores)
+    return found if available_mb is None else min(found, max(1, int(available_mb / per_worker_mb)))
+
+
 def plan_summary(chunks: DataFrame) -> DataFrame:
     """Number, mean, upper median, least and largest size of chunks."""
     size = F.col("end") - F.col("start")

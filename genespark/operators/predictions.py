@@ -66,3 +66,31 @@ def scaffold_lengths(chunks: DataFrame) -> DataFrame:
 
 def has_both_strands(chunks: DataFrame) -> bool:
     return chunk_index(chunks).select("strand").distinct().count() == 2
+
+
+def legacy_region_probabilities(regions: DataFrame, index: DataFrame, data: DataFrame, size: int) -> DataFrame:
+    """Probabilities of regions (region_id, seqid, region_start, region_end) in the concatenated array, strand ignored.
+
+    ``data`` has sample (from 0) and probs, ``size`` positions a row; a flat array is one
+    cut into such rows.  Each region meets only the rows it touches.
+    """
+    met = regions.join(index.select("seqid", "length", "offset"), "seqid").filter((F.col("region_start") >= 0) & (F.col("region_end") <= F.col("length")) & (F.col("region_start") < F.col("region_end")))
+    spans = met.select("region_id", (F.col("offset") + F.col("region_start")).alias("__s"), (F.col("offset") + F.col("region_end")).alias("__e"))
+    touched = spans.withColumn("sample", F.explode(F.sequence(F.floor(F.col("__s") / size), F.floor((F.col("__e") - 1) / size))))
+    low = F.greatest(F.col("__s") - F.col("sample") * size, F.lit(0))
+    high = F.least(F.col("__e") - F.col("sample") * size, F.lit(size))
+    cut = F.slice("probs", (low + 1).cast("int"), (high - low).cast("int"))
+    parts = touched.join(data.select("sample", "probs"), "sample").select("region_id", "sample", cut.alias("part"))
+    listed = F.array_sort(F.collect_list(F.struct("sample", "part")))
+    return parts.groupBy("region_id").agg(F.flatten(F.transform(listed, lambda x: x["part"])).alias("probs"))
+
+
+def tiles(scaffolds: DataFrame, size: int) -> DataFrame:
+    """Regions of ``size`` positions over whole scaffolds (seqid, length): seqid, start, end; the last one is shorter."""
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long")))
+    return scaffolds.filter("length > 0").select("seqid", "length", starts.alias("start")).select("seqid", "start", F.least(F.col("start") + size, F.col("length")).alias("end"))
+
+
+def scaffold_range(index: DataFrame, seqid: str) -> DataFrame:
+    """First and last place (half-open) of a scaffold in the array."""
+    return index.filter(F.col("seqid") == seqid).select("seqid", F.col("offset").alias("array_start"), (F.col("offset") + F.col("length")).alias("array_end"))

@@ -16,11 +16,26 @@ def correction_confidence(reads: Column, shift: Column, max_shift: int) -> Colum
     return 0.7 * F.least(F.lit(1.0), F.log1p(reads) / F.log(F.lit(101.0))) + 0.3 * F.greatest(F.lit(0.0), 1 - shift / max_shift)
 
 
-def nearby_best(introns: DataFrame, junctions: DataFrame, max_shift: int, least_reads: int) -> DataFrame:
-    """For each intron the best junction nearby: most reads, then least shift, then the first."""
+def site_score(window: Column, strand: Column, site: str, slack: int, offset: Column | int = 0) -> Column:
+    """Matrix score of the site ``offset`` bases from the current one; 0 beyond the scaffold or without a window."""
+    matrix = {"donor": dna.DONOR, "acceptor": dna.ACCEPTOR}[site]
+    piece = F.substr(window, (F.lit(1 + slack) + offset).cast("int"), F.lit(len(matrix)))
+    return F.coalesce(F.when(~piece.contains("-"), dna.pwm_score(dna.stranded(piece, strand), matrix)), F.lit(0.0))
+
+
+def nearby_best(introns: DataFrame, junctions: DataFrame, max_shift: int, least_reads: int, slack: int | None = None) -> DataFrame:
+    """For each intron the best junction nearby: most reads, least shift, best matrix scores, then the first by place.
+
+    The scores of both sites count if the introns carry windows with ``slack`` more
+    bases on both sides that reach all shifts.
+    """
     met = jn.nearby(introns, junctions, max_shift, least_reads)
-    shift = F.abs(F.col("intron_start") - F.col("junction_start")) + F.abs(F.col("intron_end") - F.col("junction_end"))
-    rank = F.struct(F.log1p("junction_reads"), -shift, -F.col("junction_start"), -F.col("junction_end"))
+    left, right = F.col("junction_start") - F.col("intron_start"), F.col("junction_end") - F.col("intron_end")
+    shift = F.abs(left) + F.abs(right)
+    score = F.lit(0.0)
+    if slack is not None and slack >= max_shift and "donor_window" in introns.columns:
+        score = F.round(site_score(F.col("donor_window"), F.col("strand"), "donor", slack, left) + site_score(F.col("acceptor_window"), F.col("strand"), "acceptor", slack, right), 9)
+    rank = F.struct(F.log1p("junction_reads"), -shift, score, -F.col("junction_start"), -F.col("junction_end"))
     best = F.max_by(F.struct(F.col("junction_start").alias("near_start"), F.col("junction_end").alias("near_end"), F.col("junction_reads").alias("near_reads"), shift.alias("near_shift")), rank)
     return met.groupBy(*KEY).agg(best.alias("b")).select(*KEY, "b.*")
 
@@ -52,11 +67,13 @@ def refine_introns(introns: DataFrame, junctions: DataFrame, max_shift: int = 15
     donor_window and acceptor_window with ``slack`` bases more on both sides, by
     default min(5, max_shift // 2).  Returns decision, new_start, new_end, support,
     confidence and is_canonical: of the new sites if the slack reaches them, else of the old.
+    Of equal junctions the last counts, by the column ``ord`` if there is one.
     """
     reach = min(5, max_shift // 2)
     slack = reach if slack is None else slack
-    found = jn.exact(introns, jn.last_wins(junctions.withColumn("ord", F.monotonically_increasing_id()), "ord").drop("ord")).withColumnRenamed("junction_reads", "exact_reads")
-    found = found.join(nearby_best(introns.select(*KEY), junctions, max_shift, least_reads), KEY, "left")
+    placed = junctions if "ord" in junctions.columns else junctions.withColumn("ord", F.monotonically_increasing_id())
+    found = jn.exact(introns, jn.last_wins(placed, "ord").drop("ord")).withColumnRenamed("junction_reads", "exact_reads")
+    found = found.join(nearby_best(introns.select(*KEY, "donor_window", "acceptor_window"), junctions, max_shift, least_reads, slack), KEY, "left")
     found = found.withColumn("donor_site", rescue(F.col("donor_window"), F.col("strand"), "donor", reach, slack)).withColumn("acceptor_site", rescue(F.col("acceptor_window"), F.col("strand"), "acceptor", reach, slack))
     canonical = dna.is_canonical(F.col("donor"), F.col("acceptor"))
     both = (F.col("donor_site.score") > pwm_threshold) & (F.col("acceptor_site.score") > pwm_threshold)

@@ -38,16 +38,16 @@ def hit_coverage(spark, sf_dir):
     return found.select("query_id", F.col("ord").cast("long").alias("ord"), F.round(homology.coverage(c("query_start"), c("query_end"), c("query_length")), 6).alias("query_coverage"), F.round(homology.coverage(c("subject_start"), c("subject_end"), c("subject_length")), 6).alias("subject_coverage"))
 
 
-@PLANS.add(f"""WITH {HITS}, s AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i FROM h), u AS (SELECT * FROM s WHERE i = 1),
-p AS (SELECT query_id, subject_id AS subject_a, lead(subject_id) OVER w AS subject_b, query_start AS first_at, lead(query_start) OVER w - query_end AS gap, (identity + lead(identity) OVER w) / 2 AS idn FROM u WINDOW w AS (PARTITION BY query_id ORDER BY query_start, query_end, subject_id)),
-f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY first_at, subject_a) AS i FROM p WHERE subject_b IS NOT NULL AND greatest(0, -gap) <= 10)
-SELECT query_id, subject_a, subject_b, gap, round(least(1.0, idn / 100), 6) AS confidence FROM f WHERE i = 1""")
+@PLANS.add(f"""WITH {HITS}, s AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i, min(ord) OVER (PARTITION BY query_id, subject_id) AS fo FROM h), u AS (SELECT * FROM s WHERE i = 1),
+p AS (SELECT query_id, subject_id AS subject_a, lead(subject_id) OVER w AS subject_b, query_start AS first_at, fo, lead(query_start) OVER w - query_end AS gap, (identity + lead(identity) OVER w) / 2 AS idn FROM u WINDOW w AS (PARTITION BY query_id ORDER BY query_start, fo)),
+f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY first_at, fo) AS i FROM p WHERE subject_b IS NOT NULL AND greatest(0, -gap) <= 10)
+SELECT query_id, subject_a, subject_b, greatest(0, gap) AS gap, greatest(0, -gap) AS overlap, round(least(1.0, idn / 100), 6) AS confidence FROM f WHERE i = 1""")
 def chimera_pairs(spark, sf_dir):
     return homology.chimeras(hits(spark, sf_dir)).withColumn("confidence", F.round("confidence", 6))
 
 
-@PLANS.add(f"""WITH {HITS}, s AS (SELECT *, row_number() OVER (PARTITION BY subject_id, query_id ORDER BY evalue, ord) AS i FROM h), u AS (SELECT * FROM s WHERE i = 1),
-l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, subject_end, query_id) AS nxt FROM u), p AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
+@PLANS.add(f"""WITH {HITS}, s AS (SELECT *, row_number() OVER (PARTITION BY subject_id, query_id ORDER BY evalue, ord) AS i, min(ord) OVER (PARTITION BY query_id, subject_id) AS fo FROM h), u AS (SELECT * FROM s WHERE i = 1),
+l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, fo, query_id) AS nxt FROM u), p AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
 n AS (SELECT subject_id, count(*) AS n_queries FROM p GROUP BY 1 HAVING count(*) > 1),
 q AS (SELECT DISTINCT subject_id, unnest(range(subject_start, subject_end + 1)) AS pos FROM p), c AS (SELECT subject_id, count(*) / 400 AS coverage FROM q GROUP BY 1)
 SELECT subject_id, n_queries, round(coverage, 6) AS coverage FROM n JOIN c USING (subject_id) WHERE coverage >= 0.8""")
@@ -125,10 +125,10 @@ def qc_filter_reasons(spark, sf_dir):
 
 
 @PLANS.add(f"""WITH {GENES}, r AS (SELECT CASE WHEN hom IS NULL OR hom < 0.01::DOUBLE THEN 'min_homology_score' WHEN list_contains(flags, 'NO_HOMOLOGY') THEN 'exclude_flags' ELSE 'pass' END AS reason FROM g)
-SELECT reason, count(*) AS n FROM r GROUP BY reason""")
+SELECT reason, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM r GROUP BY reason""")
 def filter_statistics(spark, sf_dir):
-    found = qc.apply_filter(genes(spark, sf_dir), qc.PRESETS["has_homology"])
-    return found.groupBy(F.coalesce("fail_reason", F.lit("pass")).alias("reason")).agg(F.count("*").alias("n"))
+    found = qc.filter_statistics(qc.apply_filter(genes(spark, sf_dir), qc.PRESETS["has_homology"]))
+    return found.select("reason", "n", F.round("percent", 6).alias("percent"))
 
 
 DIM = ", ".join(f"('{code}', '{category}', '{qc.SEVERITIES[rank]}', {rank})" for code, (category, rank) in qc.REGISTRY.items())

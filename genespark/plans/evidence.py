@@ -149,12 +149,12 @@ es AS (SELECT gene, rn, avg(depth) AS mean, median(depth) AS med, min(depth) AS
 y AS (SELECT gene, count(*) AS n_exons, count(*) FILTER (med >= 5) AS n_expressed, avg(mean) AS coverage, arg_min(low, rn) >= 5 AS a, arg_max(low, rn) >= 5 AS b FROM es GROUP BY gene),
 z AS (SELECT y.gene, strand, coalesce(n_introns, 0) AS n_introns, coalesce(n_supported, 0) AS n_supported, coalesce(n_exact, 0) AS n_exact, n_exons, n_expressed, coverage, CASE WHEN strand = '+' THEN a ELSE b END AS at_start, CASE WHEN strand = '+' THEN b ELSE a END AS at_stop,
  CASE WHEN n_introns > 0 THEN n_supported / n_introns ELSE 1.0 END AS jr, n_expressed / n_exons AS er FROM y JOIN (SELECT DISTINCT gene, strand FROM exons) USING (gene) LEFT JOIN i USING (gene))
-SELECT gene AS gene_id, n_introns, n_supported AS n_introns_supported, n_exact AS n_introns_exact, n_exons, n_expressed AS n_exons_expressed, round(coverage, 6) AS mean_exon_coverage, at_start AS start_supported, at_stop AS stop_supported,
+SELECT gene AS gene_id, n_introns, n_supported AS n_introns_supported, n_exact AS n_introns_exact, n_exons, n_expressed AS n_exons_expressed, round(coverage + 1e-9::DOUBLE, 6) AS mean_exon_coverage, at_start AS start_supported, at_stop AS stop_supported,
  round(CAST(0.5 * (1 - jr) + 0.3 * (1 - er) + 0.2 * (1 - (CAST(at_start AS INTEGER) + CAST(at_stop AS INTEGER)) / 2) AS DOUBLE), 6) AS aed,
  CASE WHEN n_introns = 0 THEN CASE WHEN er >= 0.8 THEN 'full' WHEN er >= 0.5 THEN 'partial' WHEN er > 0 THEN 'minimal' ELSE 'none' END WHEN jr >= 1 AND er >= 0.8 THEN 'full' WHEN jr >= 0.8 OR (jr >= 0.5 AND er >= 0.5) THEN 'partial' WHEN jr > 0 OR er > 0 THEN 'minimal' ELSE 'none' END AS evidence_level,
  concat_ws(',', CASE WHEN n_introns > 0 AND n_supported = 0 THEN 'NO_JUNCTION_SUPPORT' WHEN n_supported < n_introns THEN 'PARTIAL_JUNCTION_SUPPORT' END, CASE WHEN n_expressed = 0 THEN 'NO_EXON_EXPRESSION' WHEN er < 0.5 THEN 'LOW_EXON_COVERAGE' END, CASE WHEN NOT at_start THEN 'START_UNSUPPORTED' END, CASE WHEN NOT at_stop THEN 'STOP_UNSUPPORTED' END) AS flags FROM z""")
 def evidence_run(spark, sf_dir):
     genes, transcripts, aligned = gene_tables(spark, sf_dir)
     found = runs.score_evidence(genes, transcripts, bound_junctions(spark, sf_dir), aligned)
-    rounded = found.withColumn("mean_exon_coverage", F.round("mean_exon_coverage", 6)).withColumn("aed", F.round("aed", 6)).withColumn("flags", F.array_join("flags", ","))
+    rounded = found.withColumn("mean_exon_coverage", F.round(F.col("mean_exon_coverage") + 1e-9, 6)).withColumn("aed", F.round("aed", 6)).withColumn("flags", F.array_join("flags", ","))
     return rounded.select("gene_id", "n_introns", "n_introns_supported", "n_introns_exact", "n_exons", "n_exons_expressed", "mean_exon_coverage", "start_supported", "stop_supported", "aed", "evidence_level", "flags")

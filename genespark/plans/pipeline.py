@@ -81,8 +81,8 @@ def splice_summary(spark, sf_dir):
     return found.select("n_genes", "n_introns", F.round("supported_rate", 6).alias("supported_rate"), F.round("corrected_rate", 6).alias("corrected_rate"))
 
 
-@PLANS.add(f"""WITH {STATUS}, s2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i FROM h), u AS (SELECT * FROM s2 WHERE i = 1),
-p AS (SELECT query_id, lead(query_start) OVER w - query_end AS gap FROM u WINDOW w AS (PARTITION BY query_id ORDER BY query_start, query_end, subject_id)), ch AS (SELECT DISTINCT query_id FROM p WHERE gap IS NOT NULL AND greatest(0, -gap) <= 10)
+@PLANS.add(f"""WITH {STATUS}, s2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i, min(ord) OVER (PARTITION BY query_id, subject_id) AS fo FROM h), u AS (SELECT * FROM s2 WHERE i = 1),
+p AS (SELECT query_id, lead(query_start) OVER w - query_end AS gap FROM u WINDOW w AS (PARTITION BY query_id ORDER BY query_start, fo)), ch AS (SELECT DISTINCT query_id FROM p WHERE gap IS NOT NULL AND greatest(0, -gap) <= 10)
 SELECT st.query_id, CASE WHEN st.query_id % 11 = 0 THEN 'te_overlap' WHEN ch.query_id IS NOT NULL THEN 'chimeric' ELSE status END AS status FROM st LEFT JOIN ch USING (query_id)""")
 def validation_precedence(spark, sf_dir):
     chimeric = homology.chimeras(hits(spark, sf_dir)).select("query_id", F.lit(True).alias("chimeric"))
@@ -112,9 +112,9 @@ def gene_confidence(spark, sf_dir):
 
 @PLANS.add(f"""WITH {HITS}, sg AS (SELECT * FROM h WHERE evalue <= 0.05 AND identity >= 30), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY evalue, ord) AS i, count(*) OVER (PARTITION BY query_id) AS n_hits FROM sg),
 st AS (SELECT query_id, n_hits, CASE WHEN (query_end - query_start + 1) / query_length >= 0.2 AND (subject_end - subject_start + 1) / subject_length >= 0.1 THEN 'complete' ELSE 'partial' END AS status FROM r WHERE i = 1),
-s2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i FROM sg), u AS (SELECT * FROM s2 WHERE i = 1),
-p AS (SELECT query_id, lead(query_start) OVER (PARTITION BY query_id ORDER BY query_start, query_end, subject_id) - query_end AS gap FROM u), ch AS (SELECT DISTINCT query_id FROM p WHERE gap IS NOT NULL AND greatest(0, -gap) <= 10),
-l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, subject_end, query_id) AS nxt FROM u), f AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
+s2 AS (SELECT *, row_number() OVER (PARTITION BY query_id, subject_id ORDER BY evalue, ord) AS i, min(ord) OVER (PARTITION BY query_id, subject_id) AS fo FROM sg), u AS (SELECT * FROM s2 WHERE i = 1),
+p AS (SELECT query_id, lead(query_start) OVER (PARTITION BY query_id ORDER BY query_start, fo) - query_end AS gap FROM u), ch AS (SELECT DISTINCT query_id FROM p WHERE gap IS NOT NULL AND greatest(0, -gap) <= 10),
+l AS (SELECT *, lead(subject_start) OVER (PARTITION BY subject_id ORDER BY subject_start, fo, query_id) AS nxt FROM u), f AS (SELECT * FROM l WHERE nxt IS NULL OR subject_end - nxt <= 50),
 q AS (SELECT DISTINCT subject_id, unnest(range(subject_start, subject_end + 1)) AS pos FROM f), cv AS (SELECT subject_id FROM q GROUP BY 1 HAVING count(*) / 400 >= 0.8), n AS (SELECT subject_id FROM f GROUP BY 1 HAVING count(*) > 1), fr AS (SELECT DISTINCT query_id FROM f JOIN cv USING (subject_id) JOIN n USING (subject_id)),
 a AS (SELECT o_orderkey AS query_id FROM orders UNION SELECT query_id FROM h)
 SELECT query_id AS gene_id, coalesce(n_hits, 0) AS n_hits, CASE WHEN fr.query_id IS NOT NULL THEN 'fragmented' WHEN ch.query_id IS NOT NULL THEN 'chimeric' ELSE coalesce(status, 'no_hit') END AS status FROM a LEFT JOIN st USING (query_id) LEFT JOIN ch USING (query_id) LEFT JOIN fr USING (query_id)""")

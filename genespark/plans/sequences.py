@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dna
+from ..operators import boundaries
 from .binding import Plans, table
 
 PLANS = Plans()
@@ -12,15 +13,12 @@ FROM, TO = "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTNACGTACGTACGTA"
 
 
 def sequences(spark, sf_dir):
-    """doc_id and a sequence of any length: letters become bases, everything else goes.
-
-    The SQL leaves out sequences of less than 60 bases.
-    """
+    """doc_id and a sequence of any length: letters become bases, everything else goes."""
     seq = F.regexp_replace(F.translate(F.lower("text"), FROM, TO), "[^ACGTN]", "")
     return table(spark, sf_dir, "documents").select("doc_id", seq.alias("seq"))
 
 
-SEQ = f"q AS (SELECT doc_id, regexp_replace(translate(lower(text), '{FROM}', '{TO}'), '[^ACGTN]', '', 'g') AS seq FROM documents), d AS (SELECT * FROM q WHERE length(seq) >= 60)"
+SEQ = f"d AS (SELECT doc_id, regexp_replace(translate(lower(text), '{FROM}', '{TO}'), '[^ACGTN]', '', 'g') AS seq FROM documents)"
 COUNT = "CAST(length(seq) - length(replace(seq, '{0}', '')) AS INTEGER)"
 A, C, G, T = (COUNT.format(b) for b in "ACGT")
 
@@ -51,13 +49,14 @@ def translate_codons(spark, sf_dir):
 
 
 
-@PLANS.add(f"WITH {SEQ}, s AS (SELECT doc_id, substr(seq, 6, 2) AS donor, substr(seq, 49, 2) AS acceptor FROM d) SELECT doc_id, donor, acceptor, CASE WHEN donor || '-' || acceptor IN ('GT-AG', 'GC-AG', 'AT-AC') THEN donor || '-' || acceptor ELSE 'other' END AS splice_type, donor || '-' || acceptor IN ('GT-AG', 'GC-AG') AS is_canonical FROM s")
+@PLANS.add(f"WITH {SEQ}, s AS (SELECT doc_id, CASE WHEN length(seq) >= 9 THEN substr(seq, CAST(length(seq) // 3 AS BIGINT) + 1, 2) END AS donor, CASE WHEN length(seq) >= 9 THEN substr(seq, CAST(2 * length(seq) // 3 AS BIGINT) - 1, 2) END AS acceptor FROM d) SELECT doc_id, donor, acceptor, CASE WHEN donor || '-' || acceptor IN ('GT-AG', 'GC-AG', 'AT-AC') THEN donor || '-' || acceptor WHEN donor IS NOT NULL THEN 'other' END AS splice_type, donor || '-' || acceptor IN ('GT-AG', 'GC-AG') AS is_canonical FROM s")
 def splice_type_case(spark, sf_dir):
-    """Null where a site lies past the end."""
-    donor, acceptor = dna.splice_sites(F.col("seq"), F.lit(5), F.lit(50))
-    sites = sequences(spark, sf_dir).select("doc_id", F.when(F.length("seq") >= 7, donor).alias("donor"), F.when(F.length("seq") >= 50, acceptor).alias("acceptor"))
-    whole = F.col("donor").isNotNull() & F.col("acceptor").isNotNull()
-    return sites.withColumn("splice_type", F.when(whole, dna.splice_type(F.col("donor"), F.col("acceptor")))).withColumn("is_canonical", F.when(whole, dna.is_canonical(F.col("donor"), F.col("acceptor"))))
+    """The intron of the middle third of a sequence; null in one of under nine bases."""
+    n = F.length("seq")
+    donor, acceptor = dna.splice_sites(F.col("seq"), F.floor(n / 3), F.floor(2 * n / 3))
+    sites = sequences(spark, sf_dir).select("doc_id", F.when(n >= 9, donor).alias("donor"), F.when(n >= 9, acceptor).alias("acceptor"))
+    there = F.col("donor").isNotNull()
+    return sites.withColumn("splice_type", F.when(there, dna.splice_type(F.col("donor"), F.col("acceptor")))).withColumn("is_canonical", F.when(there, dna.is_canonical(F.col("donor"), F.col("acceptor"))))
 
 
 def pwm_sql(seq: str, matrix: list[list[float]]) -> str:
@@ -68,34 +67,34 @@ def pwm_sql(seq: str, matrix: list[list[float]]) -> str:
     return " + ".join(cells)
 
 
-@PLANS.add(f"WITH {SEQ}, w AS (SELECT doc_id, substr(seq, 18, 9) AS ds, substr(seq, 35, 16) AS sa FROM d) SELECT doc_id, round({pwm_sql('ds', dna.DONOR)}, 6) AS donor_score, round({pwm_sql('sa', dna.ACCEPTOR)}, 6) AS acceptor_score FROM w")
+@PLANS.add(f"WITH {SEQ}, m AS (SELECT doc_id, seq, length(seq) // 2 AS p FROM d), w AS (SELECT doc_id, CASE WHEN p >= 3 AND p + 6 <= length(seq) THEN substr(seq, p - 2, 9) END AS ds, CASE WHEN p >= 16 THEN substr(seq, p - 15, 16) END AS sa FROM m) SELECT doc_id, CASE WHEN ds IS NOT NULL THEN round({pwm_sql('ds', dna.DONOR)}, 6) END AS donor_score, CASE WHEN sa IS NOT NULL THEN round({pwm_sql('sa', dna.ACCEPTOR)}, 6) END AS acceptor_score FROM w")
 def pwm_score(spark, sf_dir):
+    """Both sites in the middle of a sequence."""
     seq = F.col("seq")
-    return sequences(spark, sf_dir).select("doc_id", F.round(dna.pwm_score(dna.donor_window(seq, F.lit(20)), dna.DONOR), 6).alias("donor_score"), F.round(dna.pwm_score(dna.acceptor_window(seq, F.lit(50)), dna.ACCEPTOR), 6).alias("acceptor_score"))
+    at = F.floor(F.length(seq) / 2)
+    return sequences(spark, sf_dir).select("doc_id", F.round(dna.pwm_score(dna.donor_window(seq, at), dna.DONOR), 6).alias("donor_score"), F.round(dna.pwm_score(dna.acceptor_window(seq, at), dna.ACCEPTOR), 6).alias("acceptor_score"))
 
 
-@PLANS.add(f"""WITH {SEQ}, u AS (SELECT unnest(range(1, 10)) AS pos, seq FROM d), b AS (SELECT pos, substr(seq, 17 + pos, 1) AS base FROM u),
-n AS (SELECT pos, b2.base, count(*) FILTER (b.base = b2.base) AS n FROM b, (SELECT unnest(['A', 'C', 'G', 'T']) AS base) b2 GROUP BY ALL)
-SELECT CAST(pos AS INTEGER) AS pos, base, round((n + 0.1::DOUBLE) / (sum(n) OVER (PARTITION BY pos) + 0.4::DOUBLE), 6) AS p FROM n""")
-def pwm_build(spark, sf_dir):
-    window = F.split(dna.donor_window(F.col("seq"), F.lit(20)), "")
-    return build_pwm(sequences(spark, sf_dir).select(window.alias("bases")), 0.1)
+BUILT = SEQ + """, v AS (SELECT seq, unnest(range(3, length(seq) - 5)) AS p FROM d), sites AS (SELECT substr(seq, p - 2, 9) AS site FROM v WHERE substr(seq, p + 1, 2) = 'GT'),
+n AS (SELECT unnest(range(1, 10)) AS pos, unnest(['A', 'C', 'G', 'T']) AS base, 0 AS n WHERE false UNION ALL SELECT pos, base, count(*) AS n FROM (SELECT unnest(range(1, 10)) AS pos, unnest(string_split(site, '')) AS base FROM sites) GROUP BY ALL),
+every AS (SELECT pos, base FROM (SELECT unnest(range(1, 10)) AS pos) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS base)), full_n AS (SELECT pos, base, coalesce(n.n, 0) AS n FROM every LEFT JOIN n USING (pos, base))"""
+
 
+def donor_sites(spark, sf_dir):
+    """All windows of nine bases around a GT, of whole sequences."""
+    windows = F.regexp_extract_all("seq", F.lit("(?=([ACGTN]{3}GT[ACGTN]{4}))"), 1)
+    return sequences(spark, sf_dir).select(F.explode(windows).alias("site"))
 
-def build_pwm(windows, pseudocount):
-    """Base probabilities by position (from 1) of aligned windows; one row a position and base."""
-    found = windows.select(F.posexplode("bases").alias("pos", "base")).groupBy("pos").pivot("base", list("ACGT")).count().na.fill(0)
-    total = sum((F.col(b) for b in "ACGT"), F.lit(0)) + 4 * pseudocount
-    cells = F.explode(F.array(*(F.struct(F.lit(b).alias("base"), F.round((F.col(b) + pseudocount) / total, 6).alias("p")) for b in "ACGT")))
-    return found.select((F.col("pos") + 1).alias("pos"), cells.alias("c")).select("pos", "c.base", "c.p")
+
+@PLANS.add(f"WITH {BUILT} SELECT CAST(pos AS INTEGER) AS pos, base, round((n + 0.1::DOUBLE) / (sum(n) OVER (PARTITION BY pos) + 0.4::DOUBLE), 6) AS p FROM full_n")
+def pwm_build(spark, sf_dir):
+    return dna.build_pwm(donor_sites(spark, sf_dir)).withColumn("p", F.round("p", 6))
 
 
-@PLANS.add(f"WITH {SEQ}, u AS (SELECT doc_id, seq, unnest(range(0, 50)) AS p FROM d), s AS (SELECT doc_id, p, {pwm_sql('substr(seq, p + 1, 9)', dna.DONOR)} AS score FROM u) SELECT doc_id, CAST(arg_max(p, (round(score, 6), -p)) AS INTEGER) AS best_at, round(max(score), 6) AS best_score FROM s GROUP BY doc_id")
+@PLANS.add(f"WITH {SEQ}, u AS (SELECT doc_id, seq, unnest(range(0, length(seq) - 8)) AS p FROM d), s AS (SELECT doc_id, p, {pwm_sql('substr(seq, p + 1, 9)', dna.DONOR)} AS score FROM u) SELECT doc_id, CAST(arg_max(p, (round(score, 6), -p)) AS INTEGER) AS best_at, round(max(score), 6) AS best_score FROM s GROUP BY doc_id")
 def sliding_pwm_best(spark, sf_dir):
-    """Best donor position among all windows of a sequence, cut in one pass; the SQL looks at the first 50 only."""
-    windows = F.regexp_extract_all("seq", F.lit("(?=(.{9}))"), 1)
-    places = sequences(spark, sf_dir).select("doc_id", F.posexplode(windows).alias("p", "window"))
-    scored = places.withColumn("score", F.round(dna.pwm_score(F.col("window"), dna.DONOR), 6))
+    """Best donor position among all windows of a sequence, cut in one pass."""
+    scored = dna.sliding(sequences(spark, sf_dir), ["doc_id"], dna.DONOR).select("doc_id", F.col("at").alias("p"), F.round("score", 6).alias("score"))
     return scored.groupBy("doc_id").agg(F.max_by("p", F.struct("score", -F.col("p"))).alias("best_at"), F.max("score").alias("best_score"))
 
 
@@ -110,23 +109,26 @@ def kozak_sql(context: str) -> str:
     return f"CASE WHEN ({total}) > 0 THEN ({' + '.join([*parts, atg.format('0.5::DOUBLE')])}) / ({total}) ELSE 0.0::DOUBLE END"
 
 
-@PLANS.add(f"WITH {SEQ}, c AS (SELECT doc_id, substr(seq, 11, 7) AS context FROM d) SELECT doc_id, round({kozak_sql('context')}, 6) AS kozak FROM c")
+@PLANS.add(f"WITH {SEQ}, c AS (SELECT doc_id, CASE WHEN length(seq) >= 7 THEN substr(seq, length(seq) // 2 - 2, 7) END AS context FROM d) SELECT doc_id, CASE WHEN context IS NOT NULL THEN round({kozak_sql('context')}, 6) END AS kozak FROM c")
 def kozak_score(spark, sf_dir):
-    """Null where the context lies past the end."""
-    return sequences(spark, sf_dir).select("doc_id", F.when(F.length("seq") >= 17, F.round(dna.kozak_score(F.substr("seq", F.lit(11), F.lit(7))), 6)).alias("kozak"))
+    """The context in the middle of a sequence; null in one of under seven bases."""
+    n = F.length("seq")
+    return sequences(spark, sf_dir).select("doc_id", F.when(n >= 7, F.round(dna.kozak_score(F.substr("seq", F.floor(n / 2).cast("int") - 2, F.lit(7))), 6)).alias("kozak"))
 
 
-START_SQL = f"""u AS (SELECT doc_id, seq, unnest(range(3, length(seq) - 6)) AS p FROM d), w AS (SELECT * FROM u WHERE p BETWEEN 3 AND 48 AND substr(seq, p + 1, 3) IN ('ATG', 'CTG', 'GTG', 'TTG')),
-k AS (SELECT doc_id, p, substr(seq, p - 2, 7) AS context FROM w), s AS (SELECT doc_id, p, context, 0.6::DOUBLE * ({kozak_sql('context')}) + 0.4::DOUBLE * (1 - abs(p - 23) / 60.0::DOUBLE) AS score FROM k),
+START_SQL = f"""u AS (SELECT doc_id, seq, unnest(range(3, length(seq) - 3)) AS p FROM d), w AS (SELECT * FROM u WHERE substr(seq, p + 1, 3) IN ('ATG', 'CTG', 'GTG', 'TTG')),
+k AS (SELECT doc_id, p, seq, substr(seq, p - 2, 7) AS context FROM w), s AS (SELECT doc_id, p, context, 0.6::DOUBLE * ({kozak_sql('context')}) + 0.4::DOUBLE * (1 - abs(p - length(seq) // 2) / (2.0::DOUBLE * length(seq))) AS score FROM k),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, p DESC) AS i FROM s)"""
 
 
 @PLANS.add(f"WITH {SEQ}, {START_SQL} SELECT doc_id, CAST(p AS INTEGER) AS start_at, context, round(score, 6) AS score FROM r WHERE i = 1")
 def start_codon_best(spark, sf_dir):
-    seq = F.col("seq")
-    places = sequences(spark, sf_dir).select("doc_id", "seq", F.explode(dna.find_codons(seq, dna.STARTS, F.lit(3), F.least(F.lit(48), F.length(seq) - 7))).alias("p"))
-    scored = places.withColumn("context", F.substr("seq", F.col("p") - 2, F.lit(7)))
-    scored = scored.withColumn("score", 0.6 * dna.kozak_score(F.col("context")) + 0.4 * (1 - F.abs(F.col("p") - 23) / 60.0))
+    """Best start codon of a whole sequence, seen from its middle; windows of seven bases are cut in one pass."""
+    seq, n = F.col("seq"), F.length("seq")
+    windows = F.transform(F.regexp_extract_all("seq", F.lit("(?=(.{7}))"), 1), lambda c, k: F.struct((k + 3).alias("p"), c.alias("context")))
+    starts = F.filter(windows, lambda w: F.substr(w["context"], F.lit(4), F.lit(3)).isin(*dna.STARTS))
+    places = sequences(spark, sf_dir).select("doc_id", F.floor(n / 2).alias("middle"), n.alias("n"), F.explode(starts).alias("w")).select("doc_id", "middle", "n", "w.*")
+    scored = places.withColumn("score", boundaries.start_score(F.col("context"), F.col("p"), F.col("middle"), F.col("n")))
     best = F.max_by(F.struct("p", "context", "score"), F.struct(F.round("score", 9), "p"))
     return scored.groupBy("doc_id").agg(best.alias("b")).select("doc_id", F.col("b.p").alias("start_at"), "b.context", F.round("b.score", 6).alias("score"))
 
@@ -135,17 +137,3 @@ def start_codon_best(spark, sf_dir):
 def inframe_stops(spark, sf_dir):
     found = sequences(spark, sf_dir).select("doc_id", dna.inframe(F.col("seq"), dna.STOPS).alias("stops")).filter(F.size("stops") > 0)
     return found.select("doc_id", F.size("stops").cast("long").alias("n_stops"), F.array_min("stops").alias("first_stop"))
-
-
-@PLANS.add(f"""WITH {SEQ}, g AS (SELECT doc_id, seq, doc_id % 3 AS phase, unnest(range(0, 4)) AS i FROM d), c AS (SELECT doc_id, i, 9 + doc_id % 4 + i AS n FROM g),
-r AS (SELECT doc_id, i, n, coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM c),
-f AS (SELECT doc_id, count(*) FILTER (before % 3 <> (i * 2) % 3) AS n_bad, sum(n) % 3 = 0 AS whole FROM r GROUP BY doc_id)
-SELECT doc_id, n_bad, whole, substr(seq, 1, 3) = 'ATG' AS has_start FROM f JOIN d USING (doc_id)""")
-def phase_check(spark, sf_dir):
-    """Four coding segments a sequence: cumulative length against the annotated phase."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("doc_id").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sequences(spark, sf_dir).select("doc_id", (F.substr("seq", F.lit(1), F.lit(3)) == "ATG").alias("has_start"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i")).withColumn("n", 9 + F.col("doc_id") % 4 + F.col("i"))
-    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    return parts.groupBy("doc_id").agg(F.count_if(F.col("before") % 3 != (F.col("i") * 2) % 3).alias("n_bad"), (F.sum("n") % 3 == 0).alias("whole"), F.first("has_start").alias("has_start"))

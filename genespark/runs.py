@@ -8,8 +8,6 @@ nothing about a gene leaves nulls and one gene never stops a run.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,17 +16,7 @@ from .operators import boundaries, evidence, homology, intervals, junctions, pre
 from .operators import confidence as scoring
 from .operators.planning import first_by_priority
 from .sources import readers
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """The table as a checkpoint, so what several later steps read is computed once.
-
-    It lies in ``spark.checkpoint.dir``; only a session without one (tests) gets a folder here.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return df.checkpoint()
+from .storage import kept
 
 
 def exon_rows(transcripts: DataFrame) -> DataFrame:
@@ -81,7 +69,8 @@ def score_evidence(genes: DataFrame, transcripts: DataFrame, found: DataFrame, b
     primary = readers.primary_transcript(transcripts).select("gene_id", "transcript_id", "seqid", "strand", "exons")
     exons = exon_rows(primary)
     gaps = intervals.introns(exons.drop("k"), ["gene_id"]).select("gene_id", "seqid", "intron_start", "intron_end")
-    places = junctions.last_wins(found.withColumn("__ord", F.monotonically_increasing_id()), "__ord")
+    placed = found if "ord" in found.columns else found.withColumn("ord", F.monotonically_increasing_id())
+    places = junctions.last_wins(placed, "ord")
     matched = junctions.nearest(gaps, places, tolerance, ["gene_id", "seqid", "intron_start", "intron_end"])
     reads = F.coalesce("junction_reads", F.lit(0))
     support = matched.groupBy("gene_id").agg(F.count("*").alias("n_introns"), F.count_if(reads >= least_reads).alias("n_introns_supported"), F.count_if(F.col("shift") == 0).alias("n_introns_exact"))
@@ -188,6 +177,30 @@ def adjust_boundaries(transcripts: DataFrame, blocks: DataFrame, window: int = 3
     return rows.select(*transcripts.columns, "adjusted")
 
 
+def refine_boundaries(transcripts: DataFrame, blocks: DataFrame, distance: int = 300, size: int = 1 << 20) -> DataFrame:
+    """Boundaries over a wide scan: transcripts with moved ends, ``adjusted`` and the list of ``changes``.
+
+    Untranslated ends aren't extended, as established.
+    """
+    old = transcripts.select("transcript_id", F.col("cds").alias("__old"))
+    moved = adjust_boundaries(transcripts, blocks, distance, size=size)
+    return moved.join(old, "transcript_id").withColumn("changes", boundaries.changes(F.col("__old"), F.col("cds"))).drop("__old")
+
+
+def phase_check(transcripts: DataFrame, blocks: DataFrame, size: int = 1 << 20) -> DataFrame:
+    """transcript_id and its phase errors; transcripts without coding segments are left out."""
+    c, minus = F.col, F.col("strand") == "-"
+    coded = transcripts.filter(F.size("cds") > 0).withColumn("cds", F.array_sort("cds"))
+    low, high = c("cds")[0]["start"], F.element_at("cds", -1)["end"]
+    first = F.struct(F.lit("start").alias("kind"), F.when(minus, high - 3).otherwise(low).alias("start"), F.when(minus, high).otherwise(low + 3).alias("end"))
+    after = F.struct(F.lit("stop").alias("kind"), F.when(minus, low - 3).otherwise(high).alias("start"), F.when(minus, low).otherwise(high + 3).alias("end"))
+    spans = coded.select("transcript_id", "seqid", "strand", F.explode(F.array(first, after)).alias("w")).select("transcript_id", "seqid", "strand", "w.*")
+    found = windows(spans, blocks, ["transcript_id", "strand", "kind"], size).withColumn("seq", dna.stranded(c("seq"), c("strand")))
+    pick = lambda kind: F.max(F.when(c("kind") == kind, c("seq"))).alias(kind)
+    codons = found.groupBy("transcript_id").agg(pick("start").alias("__start"), pick("stop").alias("__stop"))
+    return coded.join(codons, "transcript_id", "left").select("transcript_id", boundaries.phase_errors(c("cds"), c("strand"), c("__start"), c("__stop")).alias("e")).select("transcript_id", "e.*")
+
+
 def with_bounds(genes: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Genes with start and end over all exons of their transcripts."""
     spans = transcripts.select("gene_id", splice.bounds(F.col("exons")).alias("b")).groupBy("gene_id").agg(F.min("b.start").alias("__s"), F.max("b.end").alias("__e"))

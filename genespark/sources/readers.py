@@ -14,8 +14,12 @@ ESCAPES = (("%3B", ";"), ("%3D", "="), ("%26", "&"), ("%2C", ","))
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their place in the file, comments and blank lines left out."""
-    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value"))
+    """Text lines with their file and place in it, comments and blank lines left out.
+
+    ``line_no`` rises within a file (parts of a file keep their order); files are told
+    apart by name, so (file, line_no) is the order of rows over several files.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_no"), F.col("value"))
     return rows.filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
 
 
@@ -46,9 +50,10 @@ def attributes(text: Column) -> Column:
 
 
 def gff3(spark: SparkSession, path: str) -> DataFrame:
-    """Features: line_no, seqid, source, type, start, end, score, strand, phase, attributes."""
+    """Features: file, line_no, seqid, source, type, start, end, score, strand, phase, attributes."""
     rows = _fields(_lines(spark, path), 9)
     return rows.select(
+        "file",
         "line_no",
         _at(0).alias("seqid"),
         _at(1).alias("source"),
@@ -63,10 +68,14 @@ def gff3(spark: SparkSession, path: str) -> DataFrame:
 
 
 def gene_models(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Genes and transcripts (with sorted exons and cds) of GFF3 features; of equal ids the last counts."""
+    """Genes and transcripts (with sorted exons and cds) of GFF3 features; of equal ids the last counts.
+
+    The order is that of (file, line_no), or of line_no in a table without files.
+    """
     parent = F.col("attributes")["Parent"]
     own_id = F.col("attributes")["ID"]
-    latest = lambda rows, key: rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), "line_no").alias("r")).select(key, "r.*")
+    place = ["file", "line_no"] if "file" in features.columns else ["line_no"]
+    latest = lambda rows, key: rows.groupBy(key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(*place)).alias("r")).select(key, "r.*")
     genes = features.filter("type = 'gene'").withColumn("gene_id", F.coalesce(own_id, F.concat(F.lit("gene_"), F.col("line_no").cast("string"))))
     genes = latest(genes, "gene_id").select("gene_id", "line_no", "seqid", "start", "end", "strand", "source", "attributes")
     tx = features.filter(F.col("type").isin("mRNA", "transcript")).withColumn("transcript_id", F.coalesce(own_id, F.concat(F.lit("transcript_"), F.col("line_no").cast("string"))))
@@ -86,11 +95,38 @@ def primary_transcript(transcripts: DataFrame) -> DataFrame:
     return transcripts.groupBy("gene_id").agg(F.max_by(F.struct(*rest), rank).alias("t")).select("gene_id", "t.*")
 
 
+def gene(genes: DataFrame, gene_id: str) -> DataFrame:
+    """The row of a gene, or none: a filter that reaches the scan."""
+    return genes.filter(F.col("gene_id") == gene_id)
+
+
+def gff_statistics(genes: DataFrame) -> DataFrame:
+    """Genes of each scaffold, and of all under the null seqid."""
+    return genes.groupBy("seqid").agg(F.count("*").alias("n_genes")).unionByName(genes.agg(F.lit(None).cast("string").alias("seqid"), F.count("*").alias("n_genes")))
+
+
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """seqid, description, seq: a row a record, read with the record mark as line separator."""
-    rows = spark.read.text(path, lineSep=">").filter(F.length(F.trim("value")) > 0)
-    head, body = F.split("value", "\n", 2)[0], F.split("value", "\n", 2)[1]
-    return rows.select(F.split(F.trim(head), r"\s+")[0].alias("seqid"), F.trim(head).alias("description"), F.regexp_replace(F.coalesce(body, F.lit("")), r"\s", "").alias("seq"))
+    """seqid, description, seq: a row a record; a record begins with ``>`` at the start of a line."""
+    rows = spark.read.text(path, lineSep="\n>").filter(F.length(F.trim("value")) > 0)
+    text = F.regexp_replace("value", "^\\s*>", "")
+    head, body = F.split(text, "\n", 2)[0], F.get(F.split(text, "\n", 2), F.lit(1))
+    return rows.select(F.split(F.trim(head), r"\s+")[0].alias("seqid"), F.trim(F.regexp_replace(head, "\r", "")).alias("description"), F.regexp_replace(F.coalesce(body, F.lit("")), r"\s", "").alias("seq"))
+
+
+def fasta_lengths(records: DataFrame) -> DataFrame:
+    """seqid and length of each record."""
+    return records.select("seqid", F.length("seq").cast("long").alias("length"))
+
+
+def checked(regions: DataFrame, lengths: DataFrame) -> DataFrame:
+    """The regions (seqid, start, end), or an error if one lies on no scaffold, is reversed or passes an end.
+
+    ``lengths`` (seqid, length) has a row a scaffold.
+    """
+    met = regions.join(lengths.select("seqid", F.col("length").alias("__length")), "seqid", "left")
+    wrong = F.col("__length").isNull() | (F.col("start") < 0) | (F.col("end") > F.col("__length")) | (F.col("start") > F.col("end"))
+    told = F.raise_error(F.concat_ws(" ", F.lit("region out of bounds:"), "seqid", F.col("start").cast("string"), F.col("end").cast("string")))
+    return met.withColumn("start", F.when(wrong, told.cast("long")).otherwise(F.col("start"))).drop("__length")
 
 
 def genome_blocks(records: DataFrame, size: int = 1 << 20) -> DataFrame:
@@ -99,8 +135,14 @@ def genome_blocks(records: DataFrame, size: int = 1 << 20) -> DataFrame:
     return records.select("seqid", blocks.alias("b")).select("seqid", "b.*")
 
 
-def subsequences(regions: DataFrame, blocks: DataFrame, keys: list[str], size: int = 1 << 20) -> DataFrame:
-    """Sequence of regions (seqid, start, end) from blocks, joined on the blocks a region touches."""
+def subsequences(regions: DataFrame, blocks: DataFrame, keys: list[str], size: int = 1 << 20, lengths: DataFrame | None = None) -> DataFrame:
+    """Sequence of regions (seqid, start, end) from blocks, joined on the blocks a region touches.
+
+    With ``lengths`` (seqid, length) regions beyond their scaffold raise an error;
+    without, only what lies on the scaffold is returned.  Empty regions give no row.
+    """
+    if lengths is not None:
+        regions = checked(regions, lengths)
     touched = regions.withColumn("__b", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("end") - 1) / size))))
     met = touched.join(blocks.select("seqid", (F.col("block_start") / size).cast("long").alias("__b"), "block_start", "seq"), ["seqid", "__b"])
     low = F.greatest(F.col("start"), F.col("block_start")) - F.col("block_start")
@@ -170,12 +212,18 @@ def metrics_tsv(spark: SparkSession, path: str, numbers: list[str]) -> DataFrame
 
 def sam(spark: SparkSession, path: str, least_mapq: int = 20) -> DataFrame:
     """Primary alignments of a SAM text file: name, flag, seqid, start, mapq, cigar, xs."""
-    rows = _fields(spark.read.text(path).filter(~F.col("value").startswith("@")), 11)
+    rows = _fields(spark.read.text(path).filter(~F.col("value").startswith("@")), 11)  # header lines
     cigar = F.transform(F.regexp_extract_all(_at(5), F.lit("[0-9]+[MIDNSHP=X]"), 0), lambda c: F.struct(F.substr(c, F.length(c), F.lit(1)).alias("op"), F.substr(c, F.lit(1), F.length(c) - 1).cast("long").alias("len")))
     found = rows.select(_at(0).alias("name"), _number(1, "int").alias("flag"), _at(2).alias("seqid"), (_number(3, "long") - 1).alias("start"), _number(4, "int").alias("mapq"), cigar.alias("cigar"), F.nullif(F.regexp_extract("value", "\tXS:A:([+-])", 1), F.lit("")).alias("xs"), F.regexp_extract("value", "\tNH:i:([0-9]+)", 1).try_cast("int").alias("nh"))
     return found.filter((F.col("flag").bitwiseAND(0x904) == 0) & (F.col("mapq") >= least_mapq))
 
 
+def fetch(reads: DataFrame, seqid: str, start: int, end: int) -> DataFrame:
+    """Alignments that touch [start, end) of a scaffold: their reference span is start plus M, =, X, D and N."""
+    span = F.aggregate("cigar", F.lit(0).cast("long"), lambda n, c: n + F.when(c["op"].isin("M", "=", "X", "D", "N"), c["len"]).otherwise(0))
+    return reads.filter((F.col("seqid") == seqid) & (F.col("start") < end) & (F.col("start") + span > start))
+
+
 def read_introns(reads: DataFrame, least: int = 8) -> DataFrame:
     """Introns (N of at least ``least`` bases) of alignments: seqid, start, end, strand, reads, unique_reads."""
     step = lambda s, c: F.struct((s["at"] + F.when(c["op"].isin("M", "=", "X", "D", "N"), c["len"]).otherwise(0)).alias("at"), F.when((c["op"] == "N") & (c["len"] >= least), F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), (s["at"] + c["len"]).alias("end"))))).otherwise(s["found"]).alias("found"))

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import dna
 from .readers import ESCAPES
 
-COLOURS = {"high": "0,128,0", "medium": "255,165,0", "low": "255,0,0"}
+# Colours of the confidence classes in browser tracks.
+COLOURS = {"high": "0,150,0", "medium": "255,200,0", "low": "200,0,0"}
+OTHER_COLOUR = "128,128,128"
+TRACK = 'track name="genespark confidence" itemRgb="On"'
+LOW_TRACK = 'track name="Low Confidence Regions" color="200,0,0"'
 
 
 def escape(text: Column) -> Column:
@@ -50,23 +54,52 @@ def write_gff3(genes: DataFrame, transcripts: DataFrame, path: str, source: str
     lines.unionByName(head).orderBy("gene_ord", "tx_ord", "kind", "n").select("line").write.text(path)
 
 
-def confidence_bed(scores: DataFrame) -> DataFrame:
-    """BED9 lines with the score times 1000 and a colour by class."""
-    value = F.least(F.lit(1000), F.floor(F.col("overall_score") * 1000)).cast("string")
-    colour = F.lit(None).cast("string")
+def confidence_bed(scores: DataFrame, value: str = "overall_score") -> DataFrame:
+    """BED9 lines with a score times 1000, 1000 at most, and a colour by class."""
+    number = F.least(F.lit(1000), F.floor(F.col(value) * 1000)).cast("string")
+    colour = F.lit(OTHER_COLOUR)
     for name, rgb in COLOURS.items():
         colour = F.when(F.col("confidence_class") == name, rgb).otherwise(colour)
     place = [F.col("start").cast("string"), F.col("end").cast("string")]
-    return scores.select(F.concat_ws("\t", "seqid", *place, "gene_id", value, "strand", *place, colour).alias("line"))
+    return scores.select(F.concat_ws("\t", "seqid", *place, "gene_id", number, "strand", *place, colour).alias("line"))
 
 
-def junction_bed(junctions: DataFrame) -> DataFrame:
-    """BED6 lines with read counts in columns 7 and 8, named in the order of place."""
+def low_confidence_bed(scores: DataFrame) -> DataFrame:
+    """BED6 lines of the runs of low confidence (low_regions: array of struct<start, end, score>)."""
+    rows = scores.select("seqid", "gene_id", "strand", F.explode("low_regions").alias("r"))
+    return rows.select(F.concat_ws("\t", "seqid", F.col("r.start").cast("string"), F.col("r.end").cast("string"), F.concat("gene_id", F.lit("_lcr")), F.floor(F.col("r.score") * 1000).cast("string"), "strand").alias("line"))
+
+
+def write_track(lines: DataFrame, path: str, head: str = TRACK) -> None:
+    """Lines below a track line, which stands in a file that sorts before all others."""
+    first = lines.sparkSession.createDataFrame([(0, head)], "k int, line string")
+    lines.select(F.lit(1).alias("k"), "line").unionByName(first).orderBy("k").select("line").write.text(path)
+
+
+def numbered(rows: DataFrame, order: list[str], column: str) -> DataFrame:
+    """Add the row's number (from 0) in the given order.
+
+    Rows are dealt to range partitions and numbered there; the partitions' offsets come
+    from a table of one row a partition.  The dealt rows are staged, as both passes
+    must see the same partitions.
+    """
     from pyspark.sql import Window
 
-    number = F.row_number().over(Window.orderBy("seqid", "start", "end", "strand")) - 1
+    from .. import storage
+
+    dealt = storage.kept(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
+    counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    base = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__part").orderBy(*order)
+    return dealt.withColumn("__k", F.row_number().over(inside) - 1).join(base, "__part").withColumn(column, F.col("__base") + F.col("__k")).drop("__part", "__base", "__k")
+
+
+def junction_bed(junctions: DataFrame) -> DataFrame:
+    """BED6 lines with read counts in columns 7 and 8, named in the order of place."""
     text = lambda c: F.col(c).cast("string")
-    return junctions.withColumn("k", number).select("k", F.concat_ws("\t", "seqid", text("start"), text("end"), F.format_string("JUNC%06d", "k"), F.least(F.lit(1000), F.col("reads")).cast("string"), "strand", text("reads"), text("unique_reads")).alias("line"))
+    rows = numbered(junctions, ["seqid", "start", "end", "strand"], "k")
+    return rows.select("k", F.concat_ws("\t", "seqid", text("start"), text("end"), F.format_string("JUNC%06d", "k"), F.least(F.lit(1000), F.col("reads")).cast("string"), "strand", text("reads"), text("unique_reads")).alias("line"))
 
 
 def fasta(records: DataFrame, width: int = 60) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from genespark.operators import genes
+from genespark.sources import readers
 
 SPANS = "seqid string, start long, end long"
 
@@ -16,12 +17,12 @@ def test_regions_and_counts(spark):
 
 
 def test_coding_sequences_and_proteins(spark):
-    records = spark.createDataFrame([("a", "CCATGAAACCTTTTAGG")], "seqid string, seq string")
+    records = readers.genome_blocks(spark.createDataFrame([("a", "CCATGAAACCTTTTAGG")], "seqid string, seq string"), 5)
     kind = "transcript_id string, gene_id string, seqid string, strand string, cds array<struct<start:long,end:long,phase:int>>"
     tx = spark.createDataFrame([("t", "g", "a", "+", [(10, 16, 0), (2, 8, 0)]), ("u", "h", "a", "-", [(0, 3, 0), (5, 8, 0)])], kind)
-    got = {r.transcript_id: r.seq for r in genes.coding_sequences(tx, records).collect()}
+    got = {r.transcript_id: r.seq for r in genes.coding_sequences(tx, records, 5).collect()}
     assert got == {"t": "ATGAAA" + "TTTTAG", "u": "TTT" + "TGG"}
-    assert {r.transcript_id: r.protein for r in genes.proteins(genes.coding_sequences(tx, records)).collect()} == {"t": "MKF", "u": "FW"}
+    assert {r.transcript_id: r.protein for r in genes.proteins(genes.coding_sequences(tx, records, 5)).collect()} == {"t": "MKF", "u": "FW"}
 
 
 def test_subsets_and_lines(spark):
