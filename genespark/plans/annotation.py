@@ -170,13 +170,16 @@ def cumulative_offsets(spark, sf_dir):
     return offsets(scaffolds(spark, sf_dir).select("ord", "length"), "length", "ord")
 
 
+CHUNK_SQL = """cn AS (SELECT s_name AS seqid, s_suppkey AS ord, 100000 + s_suppkey * 37 AS length, greatest(1, (100000 + s_suppkey * 37) // 30000 + CASE WHEN (100000 + s_suppkey * 37) % 30000 >= 10000 THEN 1 ELSE 0 END) AS n FROM supplier),
+cu AS (SELECT *, unnest(range(0, n)) AS k FROM cn),
+ck AS (SELECT seqid, ord, k * 30000 AS start, CASE WHEN k = n - 1 THEN length ELSE (k + 1) * 30000 END AS "end", printf('chunk_%04d', row_number() OVER (ORDER BY ord, k) - 1) AS chunk_id FROM cu)"""
+
+
 def scaffolds(spark, sf_dir):
     return table(spark, sf_dir, "supplier").selectExpr("s_name AS seqid", "s_suppkey AS ord", "100000 + s_suppkey * 37 AS length")
 
 
-@PLANS.add("""WITH c AS (SELECT s_name AS seqid, s_suppkey AS ord, 100000 + s_suppkey * 37 AS length, greatest(1, (100000 + s_suppkey * 37) // 30000 + CASE WHEN (100000 + s_suppkey * 37) % 30000 >= 10000 THEN 1 ELSE 0 END) AS n FROM supplier),
-u AS (SELECT *, unnest(range(0, n)) AS k FROM c)
-SELECT seqid, ord, k * 30000 AS start, CASE WHEN k = n - 1 THEN length ELSE (k + 1) * 30000 END AS "end", printf('chunk_%04d', row_number() OVER (ORDER BY ord, k) - 1) AS chunk_id FROM u""")
+@PLANS.add(f"WITH {CHUNK_SQL} SELECT * FROM ck")
 def fixed_chunks(spark, sf_dir):
     return planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000)
 

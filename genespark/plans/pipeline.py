@@ -91,7 +91,7 @@ def validation_precedence(spark, sf_dir):
     return found.select("query_id", final.alias("status"))
 
 
-@PLANS.add(f"""WITH {PROBS}, b AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS pos, count(*) OVER (PARTITION BY label) AS n, list_max(probs) AS top, probs[3] AS q, CASE WHEN list_position(probs, list_max(probs)) = 3 THEN 1.0 ELSE 0.0 END AS cds,
+@PLANS.add(f"""WITH {PROBS}, b AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id, pos) - 1 AS pos, count(*) OVER (PARTITION BY label) AS n, list_max(probs) AS top, probs[3] AS q, CASE WHEN list_position(probs, list_max(probs)) = 3 THEN 1.0 ELSE 0.0 END AS cds,
  -list_sum(list_transform(probs, lambda x: greatest(x, 1e-10) * log2(greatest(x, 1e-10)))) AS bits FROM p),
 xs AS (SELECT label, CASE WHEN pos < n // 2 THEN 0 ELSE 1 END AS exon, avg(top) AS score, (avg(cds) + avg(q) + 1 - least(1.0, 4 * var_pop(q))) / 3 AS cons FROM b WHERE pos < n // 2 OR pos >= n // 2 + 5 GROUP BY ALL),
 ex AS (SELECT label, min(score) AS worst, avg(cons) AS cons FROM xs GROUP BY label), d AS (SELECT label, pos, n, abs(top - lag(top) OVER (PARTITION BY label ORDER BY pos)) AS step FROM b),
@@ -100,14 +100,18 @@ sm AS (SELECT label, avg(v) AS v FROM sh GROUP BY label), g AS (SELECT label, av
 SELECT g.label AS gene_id, round(m, 6) AS mean_prob, round(mn, 6) AS min_prob, round(ent, 6) AS mean_entropy, round(coalesce(v, 0.5), 6) AS boundary_sharpness, round(cons, 6) AS coding_consistency, round(worst, 6) AS worst_exon_score,
  round(0.30::DOUBLE * m + 0.20::DOUBLE * mn + 0.20::DOUBLE * coalesce(v, 0.5) + 0.15::DOUBLE * cons + 0.15::DOUBLE * worst, 6) AS overall_score FROM g JOIN ex USING (label) LEFT JOIN sm USING (label)""")
 def gene_confidence(spark, sf_dir):
-    """Each label is a gene of as many bases as it has vectors, with two exons."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "probs"))), lambda x: x["probs"])
+    """Each label is a gene with as many bases as its vectors give, and two exons."""
+    genes = label_genes(spark, sf_dir)
+    names = ["mean_prob", "min_prob", "mean_entropy", "boundary_sharpness", "coding_consistency", "worst_exon_score", "overall_score"]
+    return confidence.score_genes(genes).select("gene_id", *(F.round(n, 6).alias(n) for n in names))
+
+
+def label_genes(spark, sf_dir):
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("vec_id", "pos", "probs"))), lambda x: x["probs"])
     genes = probabilities(spark, sf_dir).groupBy(F.col("label").alias("gene_id")).agg(listed.alias("probs"), F.count("*").alias("length"))
     half = F.floor(F.col("length") / 2)
     span = lambda a, b: F.struct(a.cast("long").alias("start"), b.cast("long").alias("end"))
-    genes = genes.withColumn("exons", F.array(span(F.lit(0), half), span(half + 5, F.col("length")))).withColumn("cds", F.col("exons"))
-    names = ["mean_prob", "min_prob", "mean_entropy", "boundary_sharpness", "coding_consistency", "worst_exon_score", "overall_score"]
-    return confidence.score_genes(genes).select("gene_id", *(F.round(n, 6).alias(n) for n in names))
+    return genes.withColumn("exons", F.array(span(F.lit(0), half), span(half + 5, F.col("length")))).withColumn("cds", F.col("exons"))
 
 
 @PLANS.add(f"""WITH {HITS}, sg AS (SELECT * FROM h WHERE evalue <= 0.05 AND identity >= 30), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY evalue, ord) AS i, count(*) OVER (PARTITION BY query_id) AS n_hits FROM sg),

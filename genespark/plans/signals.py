@@ -32,25 +32,26 @@ def rolling_smooth(spark, sf_dir):
 
 
 def probabilities(spark, sf_dir):
-    """vec_id, label and a distribution over four classes."""
-    exps = F.transform(F.slice("embedding", 1, 4), lambda x: F.exp(x.cast("double")))
-    found = table(spark, sf_dir, "embeddings").select("vec_id", "label", exps.alias("e"))
+    """vec_id, pos, label and a distribution over four classes: every four numbers of a vector are a base."""
+    quads = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 4).cast("int") - 1), lambda k: F.transform(F.slice("embedding", 4 * k + 1, 4), lambda x: F.exp(x.cast("double"))))
+    found = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode(quads).alias("pos", "e"))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return found.select("vec_id", "label", F.transform("e", lambda x: x / total).alias("probs"))
+    return found.select("vec_id", F.col("pos").cast("long").alias("pos"), "label", F.transform("e", lambda x: x / total).alias("probs"))
 
 
-PROBS = """e AS (SELECT vec_id, label, list_transform(embedding[1:4], lambda x: exp(CAST(x AS DOUBLE))) AS e FROM embeddings),
-p AS (SELECT vec_id, label, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM e)"""
+PROBS = """e0 AS (SELECT vec_id, label, embedding, unnest(range(0, len(embedding) // 4)) AS pos FROM embeddings),
+e AS (SELECT vec_id, pos, label, list_transform(embedding[4 * pos + 1:4 * pos + 4], lambda x: exp(CAST(x AS DOUBLE))) AS e FROM e0),
+p AS (SELECT vec_id, pos, label, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM e)"""
 
 
-@PLANS.add(f"WITH {PROBS} SELECT vec_id, round(-list_sum(list_transform(probs, lambda x: greatest(x, 1e-10) * log2(greatest(x, 1e-10)))), 6) AS entropy, round(list_max(probs), 6) AS max_prob FROM p")
+@PLANS.add(f"WITH {PROBS} SELECT vec_id, pos, round(-list_sum(list_transform(probs, lambda x: greatest(x, 1e-10) * log2(greatest(x, 1e-10)))), 6) AS entropy, round(list_max(probs), 6) AS max_prob FROM p")
 def entropy_maxprob(spark, sf_dir):
-    return probabilities(spark, sf_dir).select("vec_id", F.round(confidence.entropy(F.col("probs")), 6).alias("entropy"), F.round(F.array_max("probs"), 6).alias("max_prob"))
+    return probabilities(spark, sf_dir).select("vec_id", "pos", F.round(confidence.entropy(F.col("probs")), 6).alias("entropy"), F.round(F.array_max("probs"), 6).alias("max_prob"))
 
 
-@PLANS.add(f"WITH {PROBS} SELECT vec_id, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS class FROM p")
+@PLANS.add(f"WITH {PROBS} SELECT vec_id, pos, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS class FROM p")
 def argmax_class(spark, sf_dir):
-    return probabilities(spark, sf_dir).select("vec_id", confidence.call(F.col("probs")).alias("class"))
+    return probabilities(spark, sf_dir).select("vec_id", "pos", confidence.call(F.col("probs")).alias("class"))
 
 
 @PLANS.add(f"""WITH {SIGNAL}, n AS (SELECT user_id, count(*) AS n FROM s GROUP BY 1), d AS (SELECT user_id, pos, abs(value - lag(value) OVER (PARTITION BY user_id ORDER BY pos)) / 1000 AS step FROM s),

@@ -23,6 +23,11 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
 
 
+def raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines (file, line_no, value), comments and blank ones too."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line_no"), F.col("value"))
+
+
 def _fields(rows: DataFrame, least: int) -> DataFrame:
     return rows.withColumn("f", F.split("value", "\t")).filter(F.size("f") >= least)
 

@@ -106,9 +106,8 @@ def validation_report(results: DataFrame) -> DataFrame:
 
 
 def chimera_report(pairs: DataFrame, key: str = "query_id") -> DataFrame:
-    """Pairs of subjects of chimeric genes; gap and overlap are both written from 0 up."""
-    gap = F.col("gap")
-    return pairs.select(F.col(key).alias("gene_id"), "subject_a", "subject_b", F.greatest(gap, F.lit(0)).alias("gap"), F.greatest(-gap, F.lit(0)).alias("overlap"), fixed("confidence", 3))
+    """Pairs of subjects of chimeric genes."""
+    return pairs.select(F.col(key).alias("gene_id"), "subject_a", "subject_b", "gap", "overlap", fixed("confidence", 3))
 
 
 def fragment_report(results: DataFrame) -> DataFrame:
