@@ -126,9 +126,9 @@ def warc_sql() -> str:
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS h FROM p),
 d AS (SELECT page_id, payload_bytes, translate(upper({digits}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest FROM h),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
-SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to FROM f"""
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST) AS i FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN i = 1 OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN i > 1 THEN first END AS refers_to FROM f"""
 
 
 def chat_sql() -> str:

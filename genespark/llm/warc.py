@@ -4,16 +4,24 @@ Every record is a gzip member of its own, so an archive can be read from any
 member on.  A reading task gets a byte range, scans it for the gzip magic, and
 accepts a candidate only if its content decodes to a WARC header and the members
 after it follow without a gap up to the end of the range; it then owns the records
-that start inside its range, the last of which may end beyond it.
+that start inside its range, the last of which may end beyond it.  Where the members
+after the first valid candidate break off, the archive is followed from its beginning:
+either the candidate stood inside a record (an archive within an archive), or the
+archive is damaged, which is an error.  So is a last record after which no other begins.
 
 Of records with equal payloads, the one with the smallest ``page_id`` is a
 ``response`` and the others are ``revisit`` records that refer to it and hold no
 payload; payloads under ``least`` bytes are always stored.
 
-Rows and cases: null html is an empty payload, a null url has no target header, a
-null ``page_id`` counts as larger than all others and comes back as null.  Equal
-rows with the smallest ``page_id`` are all responses.  Other columns are ignored;
-an empty table gives no archive and no row.
+Any folder of ``*.warc.gz`` files can be read, ours or not: a missing digest or length
+is taken from the payload.
+
+Rows and cases: null html is an empty payload, a null url has no target header (others
+come back percent-encoded where they hold odd characters), a null ``page_id`` counts as
+larger than all others and comes back as null; payloads that only such rows have are
+all responses.  Of rows that repeat the smallest ``page_id`` one is the response (that
+with the smallest url), the others revisit it.  Other columns are ignored; an empty
+table gives no archive and no row.
 """
 
 from __future__ import annotations
@@ -35,8 +43,10 @@ from . import storage
 
 MAGIC = b"\x1f\x8b\x08"
 CHUNK = 1 << 18
-#: Bytes of a reading task's range.
+#: Bytes of a reading task's range, payload bytes held for one, and tasks at most.
 SPLIT = 8 << 20
+HELD = 64 << 20
+TASKS = 20_000
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -67,17 +77,39 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, si
 
 
 def write(pages: DataFrame, folder: str, least: int = 0) -> dict:
-    """Write an archive for each partition; the manifest lists them."""
+    """Write an archive for each partition; the manifest lists them.
+
+    Only ids, sizes and digests are shuffled to find repeated payloads.  If these are
+    few, their table is broadcast and no page moves; beyond, pages meet it in a join.
+    """
     spark = pages.sparkSession
     storage.small_batches(spark)
-    order = F.coalesce(F.col("page_id"), F.lit((1 << 63) - 1))
+    none = (1 << 63) - 1
+    order = F.coalesce(F.col("page_id"), F.lit(none))
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), F.octet_length(html).alias("size"), base32_sha1(html).alias("digest"))
-    # Only digests that occur twice or more meet the payloads again.
-    first = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
+    counts = storage.stage(rows.filter(F.col("size") >= least).groupBy("digest", "page_id").agg(F.count("*").alias("n")), "digests")
+    repeated = counts.groupBy("digest").agg(F.min(order).alias("first"), F.sum("n").alias("n"), F.count_if((F.col("n") > 1) & F.col("page_id").isNotNull()).alias("again")).filter("n > 1")
+    first = storage.stage(repeated.select("digest", "first", (F.col("again") > 0).alias("again")), "firsts")
+    if first.count() <= storage.BROADCAST_ROWS:
+        first = F.broadcast(first)
     marked = rows.join(first, "digest", "left")
-    repeats = F.col("first").isNotNull() & (order != F.col("first")) & (F.col("size") >= least)
-    marked = marked.select("page_id", "url", F.when(~repeats, F.col("html")).alias("html"), "size", "digest", F.when(repeats, F.col("first")).alias("refers_to"))
+    known = F.col("first").isNotNull() & (F.col("first") < none) & (F.col("size") >= least)
+    repeats = known & (order != F.col("first"))
+    columns = ["page_id", "url", F.when(~repeats, F.col("html")).alias("html"), "size", "digest", F.when(repeats, F.col("first")).alias("refers_to")]
+    twice = known & (order == F.col("first")) & F.coalesce("again", F.lit(False))
+    single = marked.filter(~F.coalesce(twice, F.lit(False))).select(*columns, F.lit(1).cast("long").alias("copies"))
+    if not counts.filter("n > 1 AND page_id IS NOT NULL").isEmpty():
+        # Equal rows are counted, so that one of them can be the response.
+        equal = marked.filter(twice).groupBy("page_id", "url", "size", "digest").agg(F.first("html").alias("html"), F.count("*").alias("copies"))
+        least_url = equal.groupBy("digest", "page_id").agg(F.min(F.struct(F.col("url").isNull(), "url")).alias("u"))
+        chosen = equal.join(least_url, ["digest", "page_id"]).withColumn("own", F.col("url").eqNullSafe(F.col("u.url")))
+        response = chosen.filter("own").select("page_id", "url", "html", "size", "digest", F.lit(None).cast("long").alias("refers_to"), F.lit(1).cast("long").alias("copies"))
+        rest = chosen.withColumn("left", F.col("copies") - F.col("own").cast("long")).filter("left > 0")
+        parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("left") - 1, F.lit(storage.BATCH_ROWS).cast("long"))).alias("k")
+        revisits = rest.select("page_id", "url", "size", "digest", "left", parts).select("page_id", "url", F.lit(None).cast("string").alias("html"), "size", "digest", F.col("page_id").alias("refers_to"), F.least(F.col("left") - F.col("k"), F.lit(storage.BATCH_ROWS).cast("long")).alias("copies"))
+        single = single.unionByName(response).unionByName(revisits.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    marked = single
 
     def run(batches):
         from pyspark import TaskContext
@@ -90,9 +122,11 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> dict:
         with storage.writing(f"{folder}/{name}") as out:
             out.write(member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:archive:{name}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"software: genespark\r\nformat: WARC/1.1\r\n"))
             for batch in chained(first, batches):
-                for page_id, url, text, size, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    out.write(record(page_id, url, (text or "").encode("utf-8"), digest, size, refers_to))
-                    n += 1
+                for page_id, url, text, size, digest, refers_to, copies in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    data = record(page_id, url, (text or "").encode("utf-8"), digest, size, refers_to)
+                    for _ in range(copies):
+                        out.write(data)
+                    n += copies
             size = out.tell()
         yield pa.RecordBatch.from_pydict({"name": [name], "size": [size], "n": [n]})
 
@@ -181,19 +215,81 @@ def candidates(source, start: int, end: int) -> Iterator[int]:
         at += CHUNK
 
 
+def checked_chain(source, start: int, end: int, size: int) -> Iterator[Record]:
+    """As ``chain``; then a record must begin where the last one ended, if the archive goes on."""
+    for found, after in steps(source, start, end, size, True):
+        yield found
+        start = after
+    if end <= start < size and not begins(source, start):
+        raise Broken(f"no record begins at {start}")
+
+
+def steps(source, start: int, end: int, size: int, keep: bool) -> Iterator[tuple[Record, int]]:
+    while start < min(end, size):
+        at = start
+        try:
+            found, start = read_member(source, at, keep)
+        except Broken as error:
+            raise Broken(f"the record at {at} is damaged: {error}") from None
+        yield found, start
+
+
+def begins(source, start: int) -> bool:
+    """Whether a member with a WARC header begins here."""
+    inflate, head = zlib.decompressobj(31), b""
+    source.seek(start)
+    try:
+        while data := source.read(1 << 12):
+            head += inflate.decompress(data)
+            if header_of(head):
+                return True
+            if inflate.eof:
+                return False
+    except (Broken, zlib.error):
+        return False
+    return False
+
+
 def read_range(source, start: int, end: int, size: int) -> Iterator[Record]:
-    """The records that a range owns."""
+    """The records that a range owns; a damaged archive raises an error.
+
+    The records behind a candidate are held until they reach the range's end, up to
+    ``HELD`` bytes; beyond that they are checked first and then read again.
+    """
     if start == 0:
-        yield from chain(source, 0, end, size, True)
+        yield from checked_chain(source, 0, end, size)
         return
-    for at in candidates(source, start, min(end, size)):
-        try:
-            for _ in chain(source, at, end, size, False):
-                pass
-        except Broken:
-            continue  # the magic stood inside a member
-        yield from chain(source, at, end, size, True)
+    at = next((c for c in candidates(source, start, min(end, size)) if begins(source, c)), None)
+    if at is None:
         return
+    held, total, again = [], 0, False
+    try:
+        for found, _ in steps(source, at, end, size, True):
+            total += len(found.block)
+            if total > HELD:
+                held, again = [], True
+            if not again:
+                held.append(found)
+            elif held:
+                held.clear()
+    except Broken:
+        # A magic inside a record, or damage: only the records before can tell.
+        place = 0
+        for _, place in steps(source, 0, start, size, False):
+            pass
+        if place >= end:
+            return
+        yield from checked_chain(source, place, end, size)
+        return
+    if again:
+        yield from checked_chain(source, at, end, size)
+        return
+    yield from held
+    # The last one's end isn't known from the records alone.
+    if held:
+        _, after = read_member(source, held[-1].start, False)
+        if end <= after < size and not begins(source, after):
+            raise Broken(f"no record begins at {after}")
 
 
 def page_of(value: str | None) -> int | None:
@@ -202,28 +298,32 @@ def page_of(value: str | None) -> int | None:
 
 
 def read(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
-    """page_id, url, payload (null in revisits), payload_bytes, payload_digest, record_type, refers_to."""
-    with storage.reading(f"{folder}/manifest.json") as source:
-        files = json.loads(source.read())["files"]
-    ranges = [(name, at, min(at + split, size), size) for name, size in files for at in range(0, size, split)]
+    """page_id, url, payload (null in revisits), payload_bytes, payload_digest, record_type, refers_to of all archives of a folder.
+
+    Spark lists the files; executors make the ranges of each.
+    """
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
 
+    def row(found: Record, name: str) -> tuple:
+        kind, head = found.headers["warc-type"], found.headers
+        payload = found.block.partition(b"\r\n\r\n")[2] if kind == "response" else None
+        digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
+        own = None if payload is None else base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if digest and own and "x-payload-length" in head and digest != own:
+            raise ValueError(f"payload and digest differ in {name} at {found.start}")
+        n = len(payload) if payload is not None else int(head["x-payload-length"]) if "x-payload-length" in head else None
+        return page_of(head.get("warc-record-id")), head.get("warc-target-uri"), payload, n, own or digest, kind, page_of(head.get("warc-refers-to"))
+
     def run(batches):
         for batch in batches:
-            for name, start, end, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows, held = [], 0
-                with storage.reading(f"{folder}/{name}") as source:
-                    for found in read_range(source, start, end, size):
-                        kind = found.headers["warc-type"]
-                        if kind not in ("response", "revisit"):
+                with storage.reading(name) as source:
+                    for found in read_range(source, start, min(start + split, size), size):
+                        if found.headers["warc-type"] not in ("response", "revisit"):
                             continue
-                        payload = found.block.partition(b"\r\n\r\n")[2] if kind == "response" else None
-                        digest = found.headers["warc-payload-digest"].removeprefix("sha1:")
-                        if payload is not None and digest != base64.b32encode(hashlib.sha1(payload).digest()).decode():
-                            raise ValueError(f"payload and digest differ in {name} at {found.start}")
-                        n = int(found.headers["x-payload-length"]) if payload is None else len(payload)
-                        rows.append((page_of(found.headers["warc-record-id"]), found.headers.get("warc-target-uri"), payload, n, digest, kind, page_of(found.headers.get("warc-refers-to"))))
-                        held += len(payload or b"")
+                        rows.append(row(found, name))
+                        held += len(rows[-1][2] or b"")
                         if held > storage.BATCH_BYTES or len(rows) >= storage.BATCH_ROWS:
                             yield to_batch(rows)
                             rows, held = [], 0
@@ -232,5 +332,7 @@ def read(spark: SparkSession, folder: str, split: int = SPLIT) -> DataFrame:
     def to_batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows, strict=True)) or [()] * 7, schema, strict=True)], schema=schema)
 
-    listed = spark.createDataFrame(ranges, "name string, start long, until long, size long").repartition(max(1, len(ranges)))
-    return listed.mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length").filter("length > 0")
+    ranges = files.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long"))).alias("start"), F.col("length").alias("size"))
+    n = files.agg(F.sum(F.ceil(F.col("length") / split))).first()[0] or 1
+    return ranges.repartition(min(n, TASKS)).mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")

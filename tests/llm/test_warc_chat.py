@@ -16,7 +16,7 @@ def test_archives_round_trip(spark):
         got = warc.read(spark, folder, split).collect()
         assert len(got) == len(rows)
         by = sorted((r.page_id is None, r.page_id or 0, r.record_type, r.refers_to) for r in got)
-        assert by == [(False, 1, "response", None), (False, 1, "response", None), (False, 2, "response", None), (False, 3, "revisit", 1), (False, 5, "revisit", 2), (False, 7, "response", None), (False, 8, "response", None), (True, 0, "revisit", 1)]
+        assert by == [(False, 1, "response", None), (False, 1, "revisit", 1), (False, 2, "response", None), (False, 3, "revisit", 1), (False, 5, "revisit", 2), (False, 7, "response", None), (False, 8, "response", None), (True, 0, "revisit", 1)]
         for r in got:
             html = next((x[2] or "").encode() for x in rows if x[0] == r.page_id)
             assert r.payload_bytes == len(html)
@@ -39,6 +39,44 @@ def test_ranges_own_records_and_reject_false_magic():
     assert gzip.decompress(data).count(b"WARC/1.1") >= 20
 
 
+def test_damage_is_an_error_wherever_it_is():
+    import random
+
+    rng = random.Random(3)
+    records = [warc.record(k, "u", rng.randbytes(150), "A" * 32, 9, None) for k in range(40)]
+    data = b"".join(records)
+    starts = [sum(map(len, records[:k])) for k in range(40)]
+    everything = lambda d, split: [r for at in range(0, len(d), split) for r in warc.read_range(io.BytesIO(d), at, min(at + split, len(d)), len(d))]
+    for split in (700, 2000, len(data)):
+        assert [r.start for r in everything(data, split)] == starts
+        for at in range(0, len(data), split):
+            # A byte of the first record's magic, and one inside the last record that the range owns.
+            own = [s for s in starts if at <= s < at + split]
+            for place in (own[0], own[-1] + 60) if own else ():
+                broken = bytearray(data)
+                broken[place] ^= 0xFF
+                with pytest.raises(warc.Broken):
+                    everything(bytes(broken), split)
+
+
+def test_foreign_archives(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    data = warc.member([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>"), ("WARC-Target-URI", "http://x")], block) + warc.member([("WARC-Type", "metadata")], b"x")
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    (r,) = warc.read(spark, f"file://{tmp_path}").collect()
+    assert (r.page_id, r.url, r.payload_bytes, r.record_type, bytes(r.payload)) == (None, "http://x", 5, "response", b"hello")
+    assert r.payload_digest == __import__("base64").b32encode(hashlib.sha1(b"hello").digest()).decode()
+
+
+def test_many_equal_pages(spark):
+    rows = [(4, "b", "same")] * 3000 + [(4, "a", "same")] * 2 + [(9, "c", "same"), (None, "n", "only"), (None, "n", "only")]
+    folder = storage.scratch(spark, "w")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), folder)
+    got = warc.read(spark, folder, 1 << 14).collect()
+    assert len(got) == len(rows) and [(r.page_id, r.url) for r in got if r.record_type == "response" and r.page_id] == [(4, "a")]
+    assert all(r.refers_to == 4 for r in got if r.record_type == "revisit") and sum(r.record_type == "response" for r in got) == 3
+
+
 class Rewriting:
     """Tags only the last turn, so each new turn changes what stood before."""
 
