@@ -6,17 +6,19 @@ passage: an Aho-Corasick automaton finds all pieces of all items in one pass ove
 a document, and Myers' bit-parallel algorithm measures the distance of the whole
 item in a window around each hit.
 
-The benchmark is broadcast in slices of at most ``SLICE_BYTES``; a larger one takes
-several passes over the documents.
+The benchmark is broadcast in slices of at most ``SLICE_BYTES`` (or one longer item);
+a larger one takes several passes over the documents.
 
 Rows and cases: null and empty texts match nothing, null or empty items are
-ignored, items with equal texts each match, repeated document rows and null
+ignored, items without an id match like others (with a null ``item_id``), items with
+equal texts each match, repeated document rows and null
 ``doc_id`` give a row each, other columns are ignored (``clean`` keeps them).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -27,8 +29,8 @@ from . import storage
 
 #: Characters of an item for each edit that is allowed.
 CHARS_PER_EDIT = 16
-#: Bytes of benchmark text that an automaton may hold.
-SLICE_BYTES = 16 << 20
+#: Characters of benchmark text that an automaton may hold; it takes some hundred bytes for each.
+SLICE_BYTES = 4 << 20
 WORD = re.compile(r"\w+")
 
 
@@ -138,17 +140,29 @@ def matcher(items: tuple[tuple[int, str], ...]) -> Matcher:
 
 
 def slices(benchmark: DataFrame) -> list[tuple[tuple[int, str], ...]]:
-    """Normalised items in lists of bounded size; the benchmark's own size is checked first."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.length("text") > 0)
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = total // SLICE_BYTES + 1
-    out = []
-    for k in range(n):
-        part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).distinct().collect()
-        items = sorted(((r.item_id, text) for r in part if (text := normalise(r.text))), key=by_id)
-        if items:
-            out.append(tuple(items))
-    return out
+    """All slices at once, for a small benchmark."""
+    return list(sliced(benchmark))
+
+
+def sliced(benchmark: DataFrame) -> Iterator[tuple[tuple[int, str], ...]]:
+    """Normalised items in lists of bounded size, one list at a time on the driver.
+
+    Items stream over the driver in the order of a staged table; a list is full at
+    ``SLICE_BYTES``, so only a single longer item can make one larger.
+    """
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.length("text") > 0).distinct()
+    held, size = [], 0
+    for r in rows.toLocalIterator():
+        text = normalise(r.text)
+        if not text:
+            continue
+        if held and size + len(text) > SLICE_BYTES:
+            yield tuple(sorted(held, key=by_id))
+            held, size = [], 0
+        held.append((r.item_id, text))
+        size += len(text)
+    if held:
+        yield tuple(sorted(held, key=by_id))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -158,8 +172,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, distance long, end long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = spark.createDataFrame([], schema)
-    for items in slices(benchmark):
-        shared = spark.sparkContext.broadcast(items)  # SLICE_BYTES at most
+    for items in sliced(benchmark):
+        shared = spark.sparkContext.broadcast(items)  # a bounded slice
 
         def run(batches, shared=shared):
             find = matcher(shared.value)
@@ -176,7 +190,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     storage.small_batches(spark)
     at = docs.columns.index("text")
-    for items in slices(benchmark):
+    for items in sliced(benchmark):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches, shared=shared):
