@@ -352,11 +352,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
 
 
 def keep(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class: that with the smallest id, all columns unchanged."""
+    """One row of each class: that with the smallest id, all columns unchanged, whatever their names."""
     names = docs.columns
+    own = []  # names of our own that the table doesn't have
+    while len(own) < 3:
+        k = len(own)
+        own.append(next(n for n in (f"__{k}" + "_" * j for j in range(len(names) + 1)) if n not in names))
+    text, key, least = own
     _, texts = classes(docs, threshold)
-    stay = texts.filter("keeper").select(F.col("key").alias("__key"), F.col("own_id").alias("__id"))
-    rows = docs.withColumn("__text", text_key())
-    found = rows.join(stay, (F.col("__text") == F.col("__key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    repeats = found.groupBy("__text", "doc_id").count().filter("count > 1").isEmpty()
-    return (found if repeats else found.dropDuplicates(["__text"])).select(*names)
+    stay = texts.filter("keeper").select(F.col("key").alias(key), F.col("own_id").alias(least))
+    rows = docs.withColumn(text, text_key())
+    found = rows.join(stay, (F.col(text) == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(least)), "left_semi")
+    single = found.groupBy(text, "doc_id").count().filter("count > 1").isEmpty()
+    return (found if single else found.dropDuplicates([text])).select(*(F.col(f"`{n}`") for n in names))
