@@ -88,12 +88,12 @@ class Codebook:
             raise ValueError("an id without a code")
         end = np.cumsum(n)
         start = end - n
-        word, shift = start >> 5, 64 - (start & 31) - n
-        wide = self.codes[ids] << shift  # in 64 bits that begin at its 32-bit word
+        word, shift = start >> 5, (64 - (start & 31) - n).astype(np.uint64)
+        wide = self.codes[ids].astype(np.uint64) << shift  # in 64 unsigned bits that begin at its 32-bit word
         words = int(end[-1] + 31 >> 5) + 1 if len(ids) else 1
         # Codes don't overlap, so sums join them; each sum stays below 2**32.
-        high = np.bincount(word, wide >> 32, words)
-        low = np.bincount(word + 1, wide & 0xFFFFFFFF, words + 1)[:words]
+        high = np.bincount(word, wide >> np.uint64(32), words)
+        low = np.bincount(word + 1, wide & np.uint64(0xFFFFFFFF), words + 1)[:words]
         return (high + low).astype(">u4").tobytes(), start[::INTERVAL].astype("<u4")
 
     def unpack(self, payload: bytes, offsets: np.ndarray, n: int) -> np.ndarray:
@@ -228,7 +228,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, max_bit
         yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = staged.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
+    ordered = staged.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "n", "ids").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
     files = ordered.mapInArrow(write, "part long, name string, n_docs long, n_ids long").collect()
     start, listed = 0, []
     for row in sorted(files, key=lambda r: r.part):  # one row a file
