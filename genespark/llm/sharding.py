@@ -7,7 +7,8 @@ The heap needs a global order, so only a bounded list reaches the driver: every
 group of at least ``1 / ITEMS`` of all bytes is an item of its own (there can be
 ``ITEMS`` of them at most), and all smaller groups are bundled by the hash of
 their text into ``ITEMS`` bundles, each an item as well.  One rule holds at every
-size, and groups are never split.
+size, and groups are never split.  So any shard holds at most the mean plus the largest
+item: the largest group, or for small groups a bundle, on average ``1 / ITEMS`` of them.
 
 Rows and cases: a null text counts as an empty one (the same group, size 1), null
 ``doc_id`` is kept, repeated rows are rows of one group, an empty table gives an

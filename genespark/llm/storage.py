@@ -21,17 +21,23 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows and bytes that one Arrow batch may hold on its way to a Python worker.
 BATCH_ROWS = 1024
 BATCH_BYTES = 16 << 20
+#: Bytes of a row group that a task holds while it writes a staged table.
+ROW_GROUP = 32 << 20
 #: A table of a few numbers a row may be broadcast up to this many rows; beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """URI of the shared folder; a private one is made only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """URI of the shared folder.
+
+    A local session without one (tests) gets a private folder; on a cluster that is an error.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        context = spark.sparkContext
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="genespark-"))
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="genespark-"))
         root = context.getCheckpointDir()
     return root.rstrip("/")
 
@@ -51,7 +57,7 @@ def stage(df: DataFrame, name: str, uri: str | None = None) -> DataFrame:
     """Write ``df`` to a shared table and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     uri = uri or scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(uri)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(uri)
     return spark.read.schema(df.schema).parquet(uri)
 
 
