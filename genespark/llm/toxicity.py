@@ -5,12 +5,13 @@ words of a text and their beginnings and ends; each model also gets the probabil
 it.  In training those are out-of-fold predictions: a document's earlier
 probabilities come from models that haven't seen it, as they will at scoring time.
 
-The models are fitted on at most ``TRAIN_ROWS`` labelled documents (drawn by a hash
-of the id) on the driver; scoring covers all rows, whole texts, in one pass.
+The models are fitted on at most ``TRAIN_ROWS`` labels (drawn by a hash of the id) on
+the driver; scoring covers all rows, whole texts, in one pass.
 
 Rows and cases: a null text has no word and gets the models' base rates, null
-``doc_id`` is scored but can't be labelled, documents labelled twice take part
-twice, null labels drop out, other columns are ignored (``keep`` passes them).
+``doc_id`` is scored but can't be labelled, equal labels of an id count once and
+differing ones each, of rows with the same id one text is learned (the one with the
+least hash), null labels drop out, other columns are ignored (``keep`` passes them).
 With no labelled row every probability is 0.
 """
 
@@ -201,9 +202,11 @@ def train_on(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | No
     categories = CATEGORIES if categories is None else categories
     storage.small_batches(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.expr(f"cast({e} as double)").alias(f"y_{k}") for k, e in enumerate(categories.values()))).dropna()
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded, so it may be broadcast
+    sample = known.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded, so it may be broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
     names = [f"y_{k}" for k in range(len(categories))]
+    # A repeated id may bring any number of rows: one of each id and text is enough, the first by its hash.
+    texts = texts.groupBy("doc_id", *names).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def split(batches):
         for batch in batches:
@@ -212,7 +215,7 @@ def train_on(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | No
             yield pa.RecordBatch.from_arrays([column["doc_id"], pa.array(found, pa.string()), *(column[n] for n in names)], ["doc_id", "words", *names])
 
     got = texts.mapInArrow(split, "doc_id long, words string, " + ", ".join(f"{n} double" for n in names)).toPandas()
-    got = got.sort_values(["doc_id", "words"]).head(2 * rows)
+    got = got.sort_values(["doc_id", "words", *names])
     return train([set(w.split(" ")) - {""} for w in got["words"]], got[names].to_numpy(), list(categories))
 
 

@@ -69,6 +69,64 @@ def test_chain_learns_and_holds_out():
         assert ((found[:, k] >= model.limits[k]) == (labels[800:, k] == 1)).mean() > 0.97
 
 
+def test_chain_equals_a_plain_loop():
+    """The same chain with dense matrices, a row at a time, fold by fold."""
+    rng = random.Random(8)
+    texts, labels = labelled(rng, 150)
+    words = [toxicity.words_of(t) for t in texts]
+    model = toxicity.train(words, labels, ["low_quality", "toxic"], folds=3)
+    names = sorted(model.vocabulary, key=model.vocabulary.get)
+    assert set(names) == set(toxicity.choose(words, labels)) and names
+    table = np.array([[float(any(f in toxicity.features_of(w) for w in own)) for f in names] for own in words])
+
+    def logistic(rows, target):
+        weights = np.zeros(rows.shape[1] + 1)
+        rate = min(max(target.mean(), 1e-3), 1 - 1e-3)
+        weights[-1] = np.log(rate / (1 - rate))
+        one, two = np.zeros_like(weights), np.zeros_like(weights)
+        for step in range(1, 101):
+            grad = np.zeros_like(weights)
+            for x, y in zip(rows, target, strict=True):
+                error = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))) - y
+                grad += np.append(x * error, error) / len(target)
+            grad[:-1] += 1e-4 * weights[:-1]
+            one, two = 0.9 * one + 0.1 * grad, 0.99 * two + 0.01 * grad**2
+            weights -= 0.2 * one / (1 - 0.9**step) / (np.sqrt(two / (1 - 0.99**step)) + 1e-5)
+        return weights
+
+    score = lambda w, rows: 1 / (1 + np.exp(-(rows @ w[:-1] + w[-1])))
+    held = np.zeros(len(texts))
+    for f in range(3):
+        own = np.arange(len(texts)) % 3 == f
+        held[own] = score(logistic(table[~own], labels[~own, 0]), table[own])
+    first = logistic(table, labels[:, 0])
+    second = logistic(np.column_stack([table, held]), labels[:, 1])
+    want = score(first, table)
+    got = model.predict(words)
+    assert np.allclose(got[:, 0], want, atol=1e-6)
+    assert np.allclose(got[:, 1], score(second, np.column_stack([table, want])), atol=1e-6)
+
+
+def test_repeated_ids_and_labels_are_bounded(spark):
+    rng = random.Random(9)
+    texts, labels = labelled(rng, 60)
+    rows = list(enumerate(texts)) + [(3, f"other {k}") for k in range(500)]
+    marks = [(k, int(1 - a), int(b)) for k, (a, b) in enumerate(labels)] * 3
+    seen = []
+    original = toxicity.train
+
+    def train(found, targets, names):
+        seen.append(len(found))
+        return original(found, targets, names)
+
+    toxicity.train = train
+    try:
+        toxicity.train_on(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    finally:
+        toxicity.train = original
+    assert seen == [60]
+
+
 def test_score_and_keep(spark, odd, odd_rows, empty):
     rng = random.Random(6)
     texts, labels = labelled(rng, 300)
