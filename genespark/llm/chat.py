@@ -4,18 +4,20 @@ A template is anything with ``render(turns) -> str``.  Successive prefixes of a
 conversation are rendered and consecutive outputs compared: what the longer one
 adds is the new turn's span.  A longer output that doesn't begin with the shorter
 one means that the template rewrites history; such a turn is marked, and the
-spans found before it no longer hold.  Inside the added text, a turn's content is
-found by rendering the same prefix with a sentinel in place of its text.
+spans found before it no longer hold: the conversation's text is then the rendering of
+all turns, in which each content is found by a sentinel in its place.  Inside the added
+text, too, a turn's content is found by rendering the same prefix with a sentinel.
 
-A template that declares ``lookback`` says on how many earlier turns a turn's
-rendering depends; prefixes are then rendered from there on, which keeps a long
-conversation linear.  The claim is checked: after 1, 2, 4, 8, ... turns and at the
-end the whole prefix is rendered and must be the text so far, else an error is
-raised.  Without it whole prefixes are rendered.
+Whole prefixes are rendered for the first ``WHOLE`` turns.  A template that declares
+``lookback`` says on how many earlier turns a turn's rendering depends; further
+prefixes are rendered from there on, which keeps a long conversation linear.  The
+claim is checked: after 1, 2, 4, 8, ... turns and at the end the whole prefix is
+rendered and must be the text so far, else an error is raised.  Without it all
+prefixes are whole.
 
-Turns are ordered by ``turn``, then role and text.  Conversations stream through a
-task: a segment of bounded size is written as soon as it is full; only the turns of
-one conversation are held, for the check.
+Turns are ordered by ``turn``, then role and text.  A conversation goes through one
+task, which holds its turns; with a declared ``lookback`` its text is written in
+segments of bounded size as it comes, without one its text is held as well.
 
 Rows and cases: null text is an empty one, a null role is "", null ``conv_id`` is
 a conversation of its own, repeated rows are turns of their own, other columns are
@@ -38,6 +40,8 @@ from . import storage
 
 #: Characters of formatted text after which a segment of a conversation is written.
 SEGMENT = 1 << 20
+#: Turns up to which prefixes are rendered whole, whatever the template declares.
+WHOLE = 64
 SENTINEL = "sentinel"
 Turn = tuple[str, str]
 
@@ -81,56 +85,91 @@ def spans(template: Template, before: list[Turn], turn: Turn, shorter: str | Non
     longer = template.render([*before, turn])
     rewritten = not longer.startswith(shorter)
     added = longer if rewritten else longer[len(shorter) :]
+    if rewritten:
+        return {"added": added, "begin": None, "end": None, "rewritten": True, "longer": longer}
     probe = template.render([*before, (turn[0], SENTINEL)])
-    at = probe.find(SENTINEL, 0 if rewritten else len(shorter))
-    if at < 0:
-        return {"added": added, "begin": None, "end": None, "rewritten": rewritten, "longer": longer}
-    begin = at - (0 if rewritten else len(shorter))
+    # The content ends as far from the end as the sentinel does; a role may hold the sentinel as well.
+    at = probe.rfind(SENTINEL)
+    if at < len(shorter):
+        return {"added": added, "begin": None, "end": None, "rewritten": False, "longer": longer}
+    begin = at - len(shorter)
     end = len(added) - (len(probe) - at - len(SENTINEL))
     whole = added[begin:end] == template.escape(turn[1])
     return {"added": added, "begin": begin if whole else None, "end": end if whole else None, "rewritten": rewritten, "longer": longer}
 
 
+def unused(texts: list[str]) -> str:
+    """A sentinel that none of the texts holds."""
+    sentinel = SENTINEL
+    while any(sentinel in t for t in texts):
+        sentinel += "x"
+    return sentinel
+
+
+def rewritten_conversation(template: Template, turns: list[Turn], loss_roles: frozenset[str], rewritten: list[int]) -> dict:
+    """The one segment of a conversation whose template rewrites history: the rendering of all turns.
+
+    A turn's span goes from the end of the content before it to the end of its own;
+    roles are listed, as such a span may hold more than its head.
+    """
+    text = template.render(turns)
+    sentinel, place, marks = unused([text, *(t for _, t in turns)]), 0, []
+    for k, (role, content) in enumerate(turns):
+        probe = template.render([*turns[:k], (role, sentinel), *turns[k + 1 :]])
+        low = probe.find(sentinel)
+        high = low + len(template.escape(content))
+        whole = low >= 0 and text[low:high] == template.escape(content) and probe.replace(sentinel, template.escape(content), 1) == text
+        marks.append([place, high if whole else place, low if whole else None, high if whole else None, role in loss_roles])
+        place = high if whole else place
+    return {"text": text, "turns": marks, "rewritten": rewritten, "roles": [r for r, _ in turns], "last": True}
+
+
 def render_conversation(template: Template, turns: Iterator[Turn], loss_roles: frozenset[str]) -> Iterator[dict]:
     """Segments: text, turns as [begin, end, content begin, content end, under loss], rewritten turns, last."""
     before: list[Turn] = []
     shorter: str | None = None
-    text, marks, rewritten, n = [], [], [], 0
-    size = 0
+    text, marks, held = [], [], []
+    rewritten: list[int] = []
+    n = size = 0
     seen: list[Turn] = []
-    so_far = None if template.lookback is None else hashlib.sha256()
+    so_far = hashlib.sha256()
 
     def check():
-        if so_far is not None and hashlib.sha256(template.render(seen).encode()).digest() != so_far.digest():
+        if template.lookback is not None and not rewritten and hashlib.sha256(template.render(seen).encode()).digest() != so_far.digest():
             raise ValueError(f"the template looks back on more turns than {template.lookback}")
 
     for turn in turns:
         if size >= SEGMENT:
-            yield {"text": "".join(text), "turns": marks, "rewritten": rewritten, "last": False}
-            text, marks, rewritten, size = [], [], [], 0
+            held.append({"text": "".join(text), "turns": marks, "rewritten": [], "last": False})
+            text, marks, size = [], [], 0
+            if template.lookback is not None and not rewritten:
+                yield from held  # such a template doesn't rewrite, or the check fails
+                held = []
         found = spans(template, before, turn, shorter)
-        begin, end = found["begin"], found["end"]
-        marks.append([size, size + len(found["added"]), None if begin is None else size + begin, None if end is None else size + end, turn[0] in loss_roles])
+        seen.append(turn)
         if found["rewritten"]:
+            if template.lookback is not None:
+                raise ValueError(f"the template looks back on more turns than {template.lookback}")
             rewritten.append(n)
+        begin, end = found["begin"], found["end"]
+        marks.append([size, size + len(found["added"]), None if begin is None else size + begin, None if end is None else size + end, turn[0] in loss_roles])
         text.append(found["added"])
         size += len(found["added"])
-        before.append(turn)
-        if template.lookback is None:
-            shorter = found["longer"]
-        else:
-            before, shorter = before[len(before) - template.lookback :], None
+        so_far.update(found["added"].encode())
         n += 1
-        if found["rewritten"]:
-            so_far, seen = None, []  # marked; the text so far no longer holds
-        if so_far is not None:
-            seen.append(turn)
-            so_far.update(found["added"].encode())
-            if n & (n - 1) == 0:
-                check()
+        if template.lookback is None or n < WHOLE:
+            before, shorter = seen[:], found["longer"]
+        else:
+            before, shorter = seen[n - template.lookback :], None
+        if n & (n - 1) == 0:
+            check()
     if n & (n - 1):
         check()
-    yield {"text": "".join(text), "turns": marks, "rewritten": rewritten, "last": True}
+    if rewritten:
+        yield rewritten_conversation(template, seen, loss_roles, rewritten)
+        return
+    yield from held
+    yield {"text": "".join(text), "turns": marks, "rewritten": [], "last": True}
 
 
 def conversations(batches) -> Iterator[tuple[int | None, Iterator[Turn]]]:
@@ -213,11 +252,12 @@ def read(spark: SparkSession, folder: str, template: Template | None = None) ->
                         part = json.loads(line)
                         state = state or [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
                         text = part["text"]
-                        for begin, _, low, high, loss in part["turns"]:
+                        for k, (begin, _, low, high, loss) in enumerate(part["turns"]):
                             if low is None:
                                 raise ValueError("the template hides a turn's text")
                             content = template.unescape(text[low:high])
-                            state[1].update(f"{template.role(text[begin:low])}\n{content}\n".encode())
+                            role = part["roles"][k] if "roles" in part else template.role(text[begin:low])
+                            state[1].update(f"{role}\n{content}\n".encode())
                             if loss:
                                 state[2] += len(content)
                                 state[3].update(content.encode())

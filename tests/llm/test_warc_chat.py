@@ -106,6 +106,41 @@ def test_spans_and_rewritten_history():
     assert segment["rewritten"] == [1, 2]
 
 
+def test_rewritten_history_is_written_as_rendered(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import the test
+
+    class Shared(Rewriting):
+        def render(self, turns):
+            return super().render(turns).replace("[", "[[")
+
+    rows = [(1, 0, "u", "same"), (1, 1, "a", "same"), (1, 2, "a", "sentinel"), (2, 0, "u", "one")]
+    folder = storage.scratch(spark, "c")
+    chat.write(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), folder, Rewriting(), ("a",))
+    got = {r.conv_id: r for r in chat.read(spark, folder, Rewriting()).collect()}
+    turns = [(r, t) for c, _, r, t in rows if c == 1]
+    assert got[1].formatted_chars == len(Rewriting().render(turns)) and got[1].n_rewritten == 2 and got[2].n_rewritten == 0
+    assert got[1].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert got[1].loss_sha256 == hashlib.sha256(b"samesentinel").hexdigest()
+    (segment,) = chat.render_conversation(Shared(), iter(turns), frozenset({"a"}))
+    assert segment["text"] == Shared().render(turns) and [segment["text"][a:b] for _, _, a, b, _ in segment["turns"]] == [t for _, t in turns]
+
+
+def test_long_conversations_in_segments(monkeypatch):
+    monkeypatch.setattr(chat, "SEGMENT", 200)
+    monkeypatch.setattr(chat, "WHOLE", 5)
+    turns = [(("user", "assistant")[k % 2], f"turn {k} sentinel") for k in range(40)]
+    for lookback in (1, 3, None):
+        template = chat.Marked()
+        template.lookback = lookback
+        parts = list(chat.render_conversation(template, iter(turns), frozenset({"assistant"})))
+        assert "".join(p["text"] for p in parts) == template.render(turns) and len(parts) > 3
+        assert [template.unescape(p["text"][a:b]) for p in parts for _, _, a, b, _ in p["turns"]] == [t for _, t in turns]
+
+
 def test_escape_is_reversible_and_marks_are_unique():
     import itertools
 
