@@ -42,9 +42,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Folders that this process has named, in order; ``tidy`` forgets those it deletes.
+made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """URI of a new folder below the shared one."""
-    return f"{scratch_root(spark)}/genespark-{name}-{uuid.uuid4().hex}"
+    made.append(f"{scratch_root(spark)}/genespark-{name}-{uuid.uuid4().hex}")
+    return made[-1]
+
+
+def tidy(spark: SparkSession, since: int, keep: str | None = None) -> None:
+    """Delete the scratch folders named after the first ``since`` ones, but for ``keep``."""
+    for uri in made[since:]:
+        if uri != keep:
+            drop(spark, uri)
+    made[since:] = [keep] if keep else []
 
 
 def small_batches(spark: SparkSession) -> None:
