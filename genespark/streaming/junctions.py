@@ -16,9 +16,9 @@ def read(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame:
 def support(counts: DataFrame) -> DataFrame:
     """Running reads and samples of each junction; for update or complete mode.
 
-    Partial sums keep the state small: a row a junction, whatever the number of reads.
+    The state is a row a junction with its sum and its samples, whatever the number of reads; thresholds need the exact number.
     """
-    return counts.groupBy("seqid", "start", "end").agg(F.sum("reads").alias("total_reads"), F.approx_count_distinct("sample").alias("n_samples"))
+    return counts.groupBy("seqid", "start", "end").agg(F.sum("reads").alias("total_reads"), F.size(F.collect_set("sample")).cast("long").alias("n_samples"))
 
 
 def windowed(counts: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
