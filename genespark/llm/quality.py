@@ -20,11 +20,10 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import storage
 
-#: Rows of the sample on which cost and selectivity are estimated.
+#: Mean size of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 512
 SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -126,12 +125,12 @@ def order_rules(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> lis
 
 
 def plan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The cascade's order, from ``sample_rows`` rows drawn over the whole table.
+    """The cascade's order, from about ``sample_rows`` rows drawn over the whole table (all of a smaller one).
 
-    The rows with the least random numbers are taken: partitions keep their own few, so
-    nothing else leaves the tasks, and no count of the table is needed.
+    Every row is drawn with the same chance, so nothing but the sample leaves the tasks.
     """
-    rows = docs.select("text").withColumn("r", F.rand(7)).orderBy("r").limit(sample_rows).select("text").toPandas()
+    n = docs.count()
+    rows = docs.select("text").sample(fraction=min(1.0, sample_rows / max(n, 1)), seed=7).toPandas()
     return order_rules(rows["text"].tolist(), rules)
 
 
