@@ -228,7 +228,10 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int, max_bit
         yield pa.RecordBatch.from_pydict({"part": [part], "name": [name], "n_docs": [n_docs], "n_ids": [n_ids]})
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = staged.repartitionByRange(n, F.col("doc_id").asc_nulls_first(), "n", "ids").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n", "ids")
+    # range bounds are sampled to the driver, so the keys are of fixed width; the row's place splits equal rows of one id
+    keyed = staged.select("*", F.xxhash64("ids").alias("digest"), F.xxhash64("_metadata.file_name", "_metadata.row_index").alias("place"))
+    keys = [F.col("doc_id").asc_nulls_first(), "n", "digest", "place"]
+    ordered = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select("doc_id", "n", "ids")
     files = ordered.mapInArrow(write, "part long, name string, n_docs long, n_ids long").collect()
     start, listed = 0, []
     for row in sorted(files, key=lambda r: r.part):  # one row a file

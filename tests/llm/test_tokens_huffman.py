@@ -94,3 +94,11 @@ def test_empty_table(spark, empty):
 def test_document_over_several_blocks(spark):
     text = "word another thing " * 60000
     check(spark, spark.createDataFrame([(1, text), (0, "a")], "doc_id long, text string"), [(1, text), (0, "a")])
+
+
+def test_one_id_with_most_rows_goes_over_several_files(spark):
+    rows = [(None, "same text")] * 900 + [(7, "same text")] * 900 + [(7, f"text {k % 5}") for k in range(200)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)
+    folder = storage.scratch(spark, "t")
+    made = huffman.write_ids(spark.createDataFrame(rows[:900], "doc_id long, text string").repartition(4), folder, public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert len(made["files"]) > 1 and sum(f["n_docs"] for f in made["files"]) == 900
