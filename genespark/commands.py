@@ -15,17 +15,22 @@ from pyspark.sql import functions as F
 from . import runs
 from .operators import genes as gene_tables
 from .operators import homology, junctions, planning, predictions, qc, refine, report
-from .sources import interchange, readers, reports, writers
+from .sources import bam, interchange, readers, reports, writers
 
 
 def _models(spark: SparkSession, gff: str) -> tuple[DataFrame, DataFrame]:
     return readers.gene_models(readers.gff3(spark, gff))
 
 
+def _alignments(spark: SparkSession, path: str) -> DataFrame:
+    """Alignments of a BAM file by name, else of SAM text."""
+    return bam.bam(spark, path) if path.endswith(".bam") else readers.sam(spark, path)
+
+
 def _junctions(spark: SparkSession, files: str | None, sam: str | None, least_samples: int = 1) -> DataFrame:
     """Junctions of comma-separated files and alignment files."""
     own = [readers.junctions(spark, p) for p in (files or "").split(",") if p]
-    samples = [readers.read_introns(readers.sam(spark, p)) for p in (sam or "").split(",") if p]
+    samples = [readers.read_introns(_alignments(spark, p)) for p in (sam or "").split(",") if p]
     if not own and not samples:
         raise ValueError("junctions or sam is needed")
     return junctions.load(samples, own, least_samples)
@@ -55,7 +60,7 @@ def run_refine(spark: SparkSession, gff: str, genome: str, predicted: str, outpu
     found = _within(found, region, True)
     transcripts = transcripts.join(found.select("gene_id"), "gene_id", "left_semi")
     chunks, data = _chunks(spark, predicted)
-    aligned = readers.aligned_blocks(readers.sam(spark, sam.split(",")[0])) if sam else None
+    aligned = readers.aligned_blocks(_alignments(spark, sam.split(",")[0])) if sam else None
     config = refine.Config(max_shift, min_reads, window, threshold)
     blocks = readers.genome_blocks(readers.fasta(spark, genome))
     done, changed = runs.refine_genes(found, transcripts, blocks, _junctions(spark, junction_files, sam, min_samples), chunks, data, aligned, config, stranded=True)
@@ -68,7 +73,7 @@ def run_refine(spark: SparkSession, gff: str, genome: str, predicted: str, outpu
 def run_evidence(spark: SparkSession, gff: str, output: str, junction_files: str | None = None, sam: str | None = None, min_reads: int = 3, min_coverage: float = 5, tolerance: int = 10, coverage: bool = True) -> DataFrame:
     """Evidence of genes: ``output``/report.tsv and ``output``/summary.tsv, and the annotated genes in ``output``/genes.gff3."""
     found, transcripts = _models(spark, gff)
-    aligned = readers.aligned_blocks(readers.sam(spark, sam.split(",")[0])) if sam and coverage else None
+    aligned = readers.aligned_blocks(_alignments(spark, sam.split(",")[0])) if sam and coverage else None
     scores = runs.kept(runs.score_evidence(found, transcripts, _junctions(spark, junction_files, sam), aligned, min_reads, min_coverage, tolerance, stranded=False))
     writers.tsv(reports.evidence_report(scores), f"{output}/report.tsv", ["gene_id"])
     writers.tsv(reports.evidence_brief(scores), f"{output}/summary.tsv", ["gene_id"])

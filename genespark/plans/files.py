@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import commands, storage
 from ..functions import dna
 from ..operators import confidence, genes, junctions, planning, visual
-from ..sources import interchange, readers, reports, writers
+from ..sources import bam, interchange, readers, reports, writers
 from . import annotation
 from .annotation import CHUNK_SQL, GENES, HITS, hits, scaffolds
 from .binding import EXONS, JUNCTIONS, Plans, exons, table
@@ -291,6 +291,30 @@ def sam_fetch(spark, sf_dir):
     return readers.fetch(reads(spark, sf_dir), "chr3", 100, 150).select("name", "start")
 
 
+def bam_reads(spark, sf_dir):
+    """The alignments of ``reads`` as BAM files, read in ranges of 8 KB."""
+    flag = "CASE WHEN o_orderkey % 13 = 0 THEN 4 WHEN o_orderkey % 17 = 0 THEN 256 WHEN o_orderkey % 3 = 0 THEN 16 ELSE 0 END"
+    parts = ["M", "10 + o_orderkey % 5"], ["I", "2"], ["N", "CASE WHEN o_orderkey % 7 = 0 THEN 5 ELSE 50 END"], ["M", "20"], ["D", "1"], ["M", "4"]
+    cigar = "array(" + ", ".join(f"named_struct('op', '{op}', 'len', CAST({n} AS BIGINT))" for op, n in parts) + ")"
+    strand = "CASE WHEN o_orderkey % 5 > 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END END"
+    rows = table(spark, sf_dir, "orders").selectExpr("concat('r', o_orderkey) AS name", f"CAST({flag} AS INT) AS flag", "concat('chr', o_custkey % 7) AS seqid", "CAST(o_custkey % 200 AS BIGINT) AS start", "CASE WHEN o_orderkey % 19 = 0 THEN 5 ELSE 60 END AS mapq", f"{cigar} AS cigar", f"{strand} AS xs", "CAST(1 + o_orderkey % 2 AS INT) AS nh")
+    folder = storage.scratch(spark, "bam")
+    bam.write_bam(rows, {f"chr{k}": 1000 for k in range(7)}, folder)
+    return bam.bam(spark, f"{folder}/*.bam", range_bytes=8192)
+
+
+@PLANS.add(f"""WITH {READS} SELECT seqid, start, "end", strand, count(*) AS reads, count(*) FILTER (uniq) AS unique_reads FROM iv GROUP BY ALL""")
+def bam_introns(spark, sf_dir):
+    """Introns of the alignments in BAM files."""
+    return readers.read_introns(bam_reads(spark, sf_dir))
+
+
+@PLANS.add(f"WITH {READS} SELECT 'r' || k AS name, s AS start FROM r0 WHERE seqid = 'chr3' AND s < 150 AND s + m + n + 25 > 100")
+def bam_fetch(spark, sf_dir):
+    """Alignments in BAM files that touch 50 bases of a scaffold."""
+    return readers.fetch(bam_reads(spark, sf_dir), "chr3", 100, 150).select("name", "start")
+
+
 CONF = f"""m AS (SELECT o_orderkey AS gene, o_orderkey % 7 AS seqid, o_orderkey * 100 AS s, o_orderkey * 100 + 80 AS e, {METRIC_SQL} FROM orders), cb AS (SELECT *, 0.30::DOUBLE * mean_prob + 0.20::DOUBLE * min_prob + 0.20::DOUBLE * boundary_sharpness + 0.15::DOUBLE * coding_consistency + 0.15::DOUBLE * worst_exon_score AS score FROM m), cc AS (SELECT *, CASE WHEN score >= 0.85::DOUBLE THEN 'high' WHEN score >= 0.7::DOUBLE THEN 'medium' ELSE 'low' END AS class FROM cb)"""
 
 
