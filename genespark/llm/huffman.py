@@ -5,7 +5,8 @@ their counts over all documents; codes are canonical, so a file needs only the
 lengths.  The stream of ids, documents in ascending ``doc_id``, is written in
 blocks that decode on their own.  A block lists the bit offset of every
 ``INTERVAL``-th id: from these checkpoints it is decoded in parallel lanes by one
-table look-up per id, and a reader can start at any of them.
+table look-up per id.  A file ends with the places of its blocks, so ``Stream.read``
+gets any stretch of the stream from the checkpoint before it, without the rest.
 
 Rows and cases: a null text is an empty one (its only id is the end id), null
 ``doc_id`` sorts first and comes back as null, repeated ids and rows are all kept
@@ -27,10 +28,12 @@ from pyspark.sql import functions as F
 
 from . import storage, tokens
 
-MAGIC = b"IDHUF1\0\0"
+MAGIC = b"IDHUF2\0\0"
 INTERVAL = 128
 BLOCK = 1 << 17
 NULL_ID = -(1 << 63)
+#: In place of a block's number of documents: the list of blocks follows.
+INDEX = (1 << 32) - 1
 
 
 def code_lengths(counts: np.ndarray, max_bits: int) -> np.ndarray:
@@ -123,19 +126,23 @@ def write_block(out, book: Codebook, ids: np.ndarray, docs: list[tuple[int, int]
 def write_file(out, book: Codebook, rows: Iterator[tuple[int | None, np.ndarray]]) -> tuple[int, int]:
     """Write (doc_id, ids) in the given order; returns documents and ids written."""
     out.write(MAGIC + struct.pack("<IQ", book.check(), 0))
-    parts, docs, held, n_docs, n_ids = [], [], 0, 0, 0
+    parts, docs, places, held, n_docs, n_ids = [], [], [], 0, 0, 0
     for doc_id, ids in rows:
         n_docs, n_ids = n_docs + 1, n_ids + len(ids)
         while held + len(ids) > BLOCK:
             parts.append(ids[: BLOCK - held])
             ids = ids[BLOCK - held :]
+            places.append(out.tell())
             write_block(out, book, np.concatenate(parts), docs)
             parts, docs, held = [], [], 0
         parts.append(ids)
         held += len(ids)
         docs.append((NULL_ID if doc_id is None else doc_id, held))
     if docs:
+        places.append(out.tell())
         write_block(out, book, np.concatenate(parts), docs)
+    index = out.tell()
+    out.write(struct.pack("<IIII", len(places), INDEX, 0, 0) + np.array(places, dtype="<u8").tobytes() + struct.pack("<Q", index))
     return n_docs, n_ids
 
 
@@ -147,6 +154,8 @@ def read_file(source, book: Codebook) -> Iterator[tuple[int | None, list[np.ndar
     held: list[np.ndarray] = []
     while head := source.read(16):
         n, n_docs, n_marks, size = struct.unpack("<IIII", head)
+        if n_docs == INDEX:
+            return
         doc_ids = np.frombuffer(source.read(8 * n_docs), dtype="<i8")
         ends = np.frombuffer(source.read(4 * n_docs), dtype="<u4").astype(np.int64)
         offsets = np.frombuffer(source.read(4 * n_marks), dtype="<u4")
@@ -160,6 +169,55 @@ def read_file(source, book: Codebook) -> Iterator[tuple[int | None, list[np.ndar
             held.append(ids[at:])
 
 
+def block_places(source) -> np.ndarray:
+    """Where the blocks of a file stand; all but the last hold ``BLOCK`` ids."""
+    size = source.size()
+    source.seek(size - 8)
+    (index,) = struct.unpack("<Q", source.read(8))
+    source.seek(index + 16)
+    return np.frombuffer(source.read(size - 8 - index - 16), dtype="<u8")
+
+
+def read_part(source, place: int, book: Codebook, low: int, high: int) -> np.ndarray:
+    """The ids [low, high) of the block at ``place``, from the checkpoint before the first of them."""
+    source.seek(place)
+    n, n_docs, n_marks, size = struct.unpack("<IIII", source.read(16))
+    high = min(high, n)
+    first, after = low // INTERVAL, -(-high // INTERVAL)
+    source.seek(place + 16 + 12 * n_docs + 4 * first)
+    marks = np.frombuffer(source.read(4 * (min(after + 1, n_marks) - first)), dtype="<u4").astype(np.int64)
+    begin, end = int(marks[0]) >> 3, (int(marks[-1]) >> 3) + 1 if after < n_marks else size
+    source.seek(place + 16 + 12 * n_docs + 4 * n_marks + begin)
+    ids = book.unpack(source.read(end - begin), marks[: after - first] - 8 * begin, min(after * INTERVAL, n) - first * INTERVAL)
+    return ids[low - first * INTERVAL : high - first * INTERVAL]
+
+
+class Stream:
+    """Random access to the ids that ``write_ids`` wrote below ``folder``."""
+
+    def __init__(self, folder: str):
+        with storage.reading(f"{folder}/manifest.json") as source:
+            manifest = json.loads(source.read())
+        self.folder, self.files = folder, manifest["files"]
+        self.starts = np.array([f["start"] for f in self.files], dtype=np.int64)
+        self.size = sum(f["n_ids"] for f in self.files)
+        self.book = Codebook(np.frombuffer(zlib.decompress(bytes.fromhex(manifest["lengths"])), dtype=np.uint8))
+
+    def read(self, start: int, n: int) -> np.ndarray:
+        """The ids [start, start + n) of the stream; fewer where it ends."""
+        end, found = min(start + n, self.size), [np.zeros(0, dtype=np.uint32)]
+        at = max(start, 0)
+        while at < end:
+            file = self.files[int(np.searchsorted(self.starts, at, side="right")) - 1]
+            low, high = at - file["start"], min(end - file["start"], file["n_ids"])
+            with storage.reading(f"{self.folder}/{file['name']}") as source:
+                places = block_places(source)
+                for k in range(low // BLOCK, -(-high // BLOCK)):
+                    found.append(read_part(source, int(places[k]), self.book, max(low - k * BLOCK, 0), min(high - k * BLOCK, BLOCK)))
+            at = file["start"] + high
+        return np.concatenate(found)
+
+
 def count_ids(staged: DataFrame, size: int) -> np.ndarray:
     """Counts of all ids of staged documents; what reaches the driver is bounded by the vocabulary."""
 

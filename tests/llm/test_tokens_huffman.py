@@ -102,3 +102,18 @@ def test_one_id_with_most_rows_goes_over_several_files(spark):
     folder = storage.scratch(spark, "t")
     made = huffman.write_ids(spark.createDataFrame(rows[:900], "doc_id long, text string").repartition(4), folder, public_tokenizers.path("word_bpe_49k.json"), 1)
     assert len(made["files"]) > 1 and sum(f["n_docs"] for f in made["files"]) == 900
+
+
+def test_any_stretch_from_its_checkpoint(spark):
+    rows = [(k, "word another thing " * (70000 if k == 3 else 40 * k)) for k in range(40)] + [(None, "")]
+    folder = storage.scratch(spark, "t")
+    made = huffman.write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), folder, public_tokenizers.path("word_bpe_49k.json"), 1)
+    assert len(made["files"]) > 1
+    whole = np.concatenate([np.array(r.ids) for r in sorted(huffman.read_ids(spark, folder, with_ids=True).collect(), key=lambda r: r.start)])
+    stream = huffman.Stream(folder)
+    assert stream.size == len(whole) > huffman.BLOCK
+    edges = {0, 1, 127, 128, 129, huffman.BLOCK - 1, huffman.BLOCK, len(whole) - 1, len(whole), *(f["start"] for f in made["files"])}
+    spots = sorted(edges | set(np.random.default_rng(4).integers(0, len(whole), 30).tolist()))
+    for start in spots:
+        for n in (0, 1, 128, 300, 200000):
+            assert (stream.read(start, n) == whole[start : start + n]).all() and len(stream.read(start, n)) == len(whole[start : start + n])
