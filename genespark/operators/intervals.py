@@ -45,10 +45,14 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], left_at: str,
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str], size: int = BIN) -> DataFrame:
-    """Pairs with equal keys whose spans overlap, each once: in the first bin both touch."""
+    """Pairs with equal keys whose spans overlap, each once: in the first bin both touch.
+
+    Both sides are dealt out: how many rows the bins make isn't known to the planner, which
+    would send a long table to the driver and all executors when its source is small.
+    """
     (ls, le), (rs, re) = left_span, right_span
     bins = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / size), F.floor((F.greatest(F.col(e) - 1, F.col(s))) / size)))
-    met = left.withColumn("__bin", bins(ls, le)).join(right.withColumn("__bin", bins(rs, re)), [*keys, "__bin"])
+    met = left.withColumn("__bin", bins(ls, le)).join(right.withColumn("__bin", bins(rs, re)).hint("merge"), [*keys, "__bin"])
     first = F.greatest(F.floor(F.col(ls) / size), F.floor(F.col(rs) / size)) == F.col("__bin")
     return met.filter(first & overlaps(F.col(ls), F.col(le), F.col(rs), F.col(re))).drop("__bin")
 
