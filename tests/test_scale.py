@@ -2,7 +2,7 @@
 
 import pytest
 
-from genespark.plans import tables
+from genespark.plans import pipeline, tables
 
 
 def broadcasts(df):
@@ -23,3 +23,9 @@ def test_chunk_of_region_sends_no_chunks_to_the_driver(spark, folder):
     found = tables.chunk_of_region(spark, folder)
     assert len(broadcasts(found)) <= 1  # the names of the scaffolds
     assert found.count() > 0
+
+
+def test_chunk_slices_sends_no_chunks_to_the_driver(spark, folder):
+    found = pipeline.chunk_slices(spark, folder)
+    assert len(broadcasts(found)) <= 1
+    assert found.count() > 0
