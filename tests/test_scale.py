@@ -29,3 +29,9 @@ def test_chunk_slices_sends_no_chunks_to_the_driver(spark, folder):
     found = pipeline.chunk_slices(spark, folder)
     assert len(broadcasts(found)) <= 1
     assert found.count() > 0
+
+
+def test_process_chunks_sends_no_chunks_to_the_driver(spark, folder):
+    found = tables.process_chunks(spark, folder)
+    assert len(broadcasts(found)) <= 1
+    assert found.first().n_rows > 0
