@@ -128,7 +128,7 @@ def qc_filter(spark: SparkSession, table: str, preset: str, output: str, gff: st
     passed = runs.kept(rows.filter("fail_reason IS NULL").select("gene_id"))
     passed.write.text(f"{output}/genes")
     if gff:
-        gene_tables.filtered_lines(readers.raw_lines(spark, gff), passed).orderBy("line_no").select("value").write.text(f"{output}/genes.gff3")
+        gene_tables.filtered_lines(readers.raw_lines(spark, gff), passed).orderBy("file", "line_no").select("value").write.text(f"{output}/genes.gff3")
     return rows
 
 

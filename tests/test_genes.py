@@ -60,3 +60,14 @@ def test_carry_forward_over_blocks(spark):
     for size in (7, 1 << 20):
         got = planning.carry_forward(lines, "line_no", "v", ["file"], size)
         assert {(r.file, r.line_no): r.v for r in got.collect()} == want
+
+
+def test_filtered_lines_of_a_file_in_parts(spark, tmp_path):
+    line = lambda kind, gene, n: f"a\tx\t{kind}\t{n}\t{n + 5}\t.\t+\t.\t" + (f"ID={gene}" if kind == "gene" else f"Parent={gene}.t1")
+    parts = [[line("gene", "g1", 1), line("exon", "g1", 2)], [line("exon", "g1", 3), line("gene", "g2", 4)] + [line("exon", "g2", k) for k in range(5, 50)], [line("exon", "g2", 50), line("gene", "g3", 51)]]
+    for k, rows in enumerate(parts):
+        (tmp_path / f"part-0000{k}.txt").write_text("\n".join(rows) + "\n")
+    lines = readers.raw_lines(spark, f"file://{tmp_path}")  # the largest part is read first
+    for gene, n in (("g1", 3), ("g2", 47), ("g3", 1)):
+        found = genes.filtered_lines(lines, spark.createDataFrame([(gene,)], "gene_id string")).orderBy("file", "line_no").collect()
+        assert len(found) == n and all(gene in r.value for r in found)
