@@ -46,8 +46,8 @@ THRESHOLD = 0.8
 #: 25 bands of 5 coordinates: a pair at 0.8 is missed with probability 5e-5.
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: Shingles sketched at once.
-CHUNK = 1 << 19
+#: Shingles sketched at once, 30 MB with all their darts.
+CHUNK = 1 << 17
 #: Counters for the frequency of shingles.
 SLOTS = 1 << 18
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -184,7 +184,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(short, pa.binary())], ["doc_id", "key", "bands", "signature"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("key"), "text")
-    found = rows.mapInArrow(run, "doc_id long, key binary, bands array<long>, signature binary")
+    found = rows.mapInArrow(storage.worker("near_duplicates", run), "doc_id long, key binary, bands array<long>, signature binary")
     return storage.stage(found.select(F.monotonically_increasing_id().alias("rid"), "*"), "signatures")
 
 
@@ -206,7 +206,7 @@ def alike(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
     left = nodes.select(F.col("rid").alias("a"), F.col("signature").alias("left"))
     right = nodes.select(F.col("rid").alias("b"), F.col("signature").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(storage.worker("near_duplicates", run), "a long, b long")
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
@@ -242,7 +242,7 @@ def prefixes(texts: DataFrame, threshold: float) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
 
-    found = texts.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = texts.select("text").mapInArrow(storage.worker("near_duplicates", count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SLOTS, dtype=np.int64)
     counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(counts)  # SLOTS numbers
@@ -261,7 +261,7 @@ def prefixes(texts: DataFrame, threshold: float) -> DataFrame:
             token = np.concatenate(parts).view(np.int64) if n else []
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rids, n), pa.int64()), pa.array(token, pa.int64()), pa.array(place, pa.int64()), pa.array(np.repeat(sizes, n), pa.int64())], ["rid", "token", "place", "size"])
 
-    return texts.select("rid", "text").mapInArrow(run, "rid long, token long, place long, size long")
+    return texts.select("rid", "text").mapInArrow(storage.worker("near_duplicates", run), "rid long, token long, place long, size long")
 
 
 def meetings(texts: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
@@ -295,7 +295,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
     right = texts.select(F.col("rid").alias("b"), F.col("text").alias("right"))
     left = texts.select(F.col("rid").alias("a"), F.col("text").alias("left"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(storage.worker("near_duplicates", run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -177,11 +177,12 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             find = matcher(shared.value)
+            storage.hold("decontam", matcher.cache_clear)
             for batch in batches:
                 found = [(d, *x) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in find.match(normalise(t))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*found, strict=True)) or [()] * 4], ["doc_id", "item_id", "distance", "end"])
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(rows.mapInArrow(storage.worker("decontam", run), schema))
     return out
 
 
@@ -195,9 +196,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             find = matcher(shared.value)
+            storage.hold("decontam", matcher.cache_clear)
             for batch in batches:
                 mask = [not find.match(normalise(t)) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(mask, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(storage.worker("decontam", run), docs.schema)
     return docs

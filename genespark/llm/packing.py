@@ -134,6 +134,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         from pyspark import TaskContext
 
         encoder, end = tokens.encoder(tokenizer), tokens.id_bytes(end_id)
+        storage.hold("packing", tokens.encoder.cache_clear)
         part, seen = TaskContext.get().partitionId(), {}
         width = encoder.width(end_id)
         for batch in batches:
@@ -147,7 +148,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"part": pa.array([part] * len(names), pa.int64()), "queue": batch.column(1), "doc_id": batch.column(0), "local": pa.array(local, pa.int64()), "n": pa.array(sizes, pa.int64()), "ids": pa.array(data, pa.binary())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), name.alias("queue"), "text")
-    return storage.stage(rows.mapInArrow(run, "part long, queue string, doc_id long, local long, n long, ids binary"), "ids")
+    return storage.stage(rows.mapInArrow(storage.worker("packing", run), "part long, queue string, doc_id long, local long, n long, ids binary"), "ids")
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, weights: dict[str, float] | None = None, length: int = LENGTH, window: int = WINDOW) -> DataFrame:
@@ -191,7 +192,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, weights: dict[str, float]
                 yield pa.RecordBatch.from_pydict({"doc_id": column["doc_id"].take(row), "start": some["begin"], "length": some["size"], "ids": pa.array(ids, pa.binary()), "doc_tokens": n[some["row"]], "sequence_id": some["sequence"], "offset": some["offset"], "queue": column["queue"].take(row)})
 
     placed = staged.join(base, ["part", "queue"]).select("queue", "doc_id", "local", "n", "ids", "before")
-    return placed.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, queue string")
+    return placed.mapInArrow(storage.worker("packing", run), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, queue string")
 
 
 def sequences(pieces: DataFrame, pad_id: int = 0, length: int = LENGTH) -> DataFrame:

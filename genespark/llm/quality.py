@@ -156,7 +156,7 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "n_words", *names, "base_failed", "kept"])
 
     schema = "doc_id long, n_words long, " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, kept boolean"
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(storage.worker("quality", run), schema)
 
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -170,4 +170,4 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             mask = [kept(Text(t), cascade) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(storage.worker("quality", run), docs.schema)

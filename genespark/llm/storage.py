@@ -10,11 +10,13 @@ replace a whole file by an equal one.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote, urlparse
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,6 +68,41 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+#: What operators keep in this Python worker from task to task: the function that lets it go, by operator.
+held: dict[str, Callable[[], object]] = {}
+
+
+def hold(owner: str, free: Callable[[], object]) -> None:
+    """Note what an operator keeps in this worker, so that another one's first task here lets it go."""
+    held[owner] = free
+
+
+def trim() -> None:
+    """Give memory that is free back to the system; else a worker stays as large as its largest task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def settle(owner: str) -> None:
+    """Let go of what other operators keep in this worker."""
+    for name in [n for n in held if n != owner]:
+        held.pop(name)()
+
+
+def worker(owner: str, function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over Arrow batches in workers that live through many operators: it leaves no more memory than ``hold`` says."""
+
+    def run(batches):
+        settle(owner)
+        try:
+            yield from function(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def stage(df: DataFrame, name: str, uri: str | None = None) -> DataFrame:
     """Write ``df`` to a shared table and read it again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

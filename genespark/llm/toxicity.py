@@ -214,7 +214,7 @@ def train_on(docs: DataFrame, labels: DataFrame, categories: dict[str, str] | No
             found = [" ".join(sorted(words_of(t))) for t in column["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([column["doc_id"], pa.array(found, pa.string()), *(column[n] for n in names)], ["doc_id", "words", *names])
 
-    got = texts.mapInArrow(split, "doc_id long, words string, " + ", ".join(f"{n} double" for n in names)).toPandas()
+    got = texts.mapInArrow(storage.worker("toxicity", split), "doc_id long, words string, " + ", ".join(f"{n} double" for n in names)).toPandas()
     got = got.sort_values(["doc_id", "words", *names])
     return train([set(w.split(" ")) - {""} for w in got["words"]], got[names].to_numpy(), list(categories))
 
@@ -226,11 +226,12 @@ def score(docs: DataFrame, fitted: Chain) -> DataFrame:
 
     def run(batches):
         model = shared.value
+        storage.hold("toxicity", model.known.clear)
         for batch in batches:
             found = model.predict(list(map(words_of, batch.column(1).to_pylist())))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, k]) for k in range(found.shape[1]))], ["doc_id", *model.categories])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{c} double" for c in fitted.categories))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(storage.worker("toxicity", run), "doc_id long, " + ", ".join(f"{c} double" for c in fitted.categories))
 
 
 def keep(docs: DataFrame, fitted: Chain, category: str = "toxic") -> DataFrame:
@@ -242,8 +243,9 @@ def keep(docs: DataFrame, fitted: Chain, category: str = "toxic") -> DataFrame:
 
     def run(batches):
         model = shared.value
+        storage.hold("toxicity", model.known.clear)
         for batch in batches:
             found = model.predict(list(map(words_of, batch.column(at).to_pylist())))
             yield batch.filter(pa.array(found[:, column] < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(storage.worker("toxicity", run), docs.schema)

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from genespark.llm import dartminhash, decontam, quality, queries
+from genespark.llm import dartminhash, decontam, quality, queries, storage
 
 DIR = "/root/testdata/sf0.001"
 
@@ -50,3 +50,10 @@ def test_near_duplicates_keep_columns_of_any_name(spark):
     rows = [(k, "a b c d e f g h " * 9 + ("x" if k == 1 else ""), k, -k, "t") for k in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, __0 long, __1 long, __2 string")
     assert [tuple(r) for r in dartminhash.keep(docs).collect()] == [rows[0]]
+
+
+def test_a_worker_keeps_nothing_of_earlier_operators():
+    words = {"word": (1,)}
+    storage.hold("first", words.clear)
+    assert list(storage.worker("first", iter)([1, 2])) == [1, 2] and words  # its own operator goes on with it
+    assert list(storage.worker("second", iter)([3])) == [3] and not words and "first" not in storage.held
