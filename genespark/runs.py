@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .functions import dna
-from .operators import boundaries, evidence, homology, intervals, junctions, predictions, qc, refine, splice
+from .operators import boundaries, depth, evidence, homology, intervals, junctions, predictions, qc, refine, splice
 from .operators import confidence as scoring
 from .operators.planning import first_by_priority
 from .sources import readers
@@ -42,22 +42,12 @@ def confidence(genes: DataFrame, transcripts: DataFrame, chunks: DataFrame, data
     return scoring.score_genes(rows.select("gene_id", (F.col("end") - F.col("start")).alias("length"), "probs", inside("exons").alias("exons"), inside("cds").alias("cds")))
 
 
-def exon_depth(exons: DataFrame, blocks: DataFrame, keys: list[str], stranded: bool = True, size: int = 1 << 10) -> DataFrame:
+def exon_depth(exons: DataFrame, blocks: DataFrame, keys: list[str], stranded: bool = True, size: int = 1 << 12) -> DataFrame:
     """Depth of each exon (keys, seqid, strand, start, end) under aligned blocks: mean, median, least and largest.
 
-    Depth stays in runs: an exon gets its runs with their lengths, and one row for
-    the bases no block covers.  ``size`` is the bin in which exons meet runs, some exons long.
+    ``size`` is the bin in which exons meet blocks, many exons long.
     """
-    place = ["seqid", "strand"] if stranded else ["seqid"]
-    runs = intervals.coverage_runs(blocks, place).withColumnsRenamed({"start": "run_start", "end": "run_end"})
-    met = intervals.overlap_join(exons, runs, place, ("start", "end"), ("run_start", "run_end"), size)
-    length = intervals.overlap_length(F.col("start"), F.col("end"), F.col("run_start"), F.col("run_end"))
-    row = lambda depth, n: F.struct(depth.cast("long").alias("depth"), n.cast("long").alias("n"))
-    parts = met.select(*keys, F.explode(F.array(row(F.col("depth"), length), row(F.lit(0), -length))).alias("p"))  # bases with a run are taken off the bare ones
-    whole = exons.select(*keys, row(F.lit(0), F.col("end") - F.col("start")).alias("p"))
-    counts = parts.unionByName(whole).groupBy(*keys, "p.depth").agg(F.sum("p.n").alias("n")).filter("n > 0")
-    depth, n = F.col("depth"), F.col("n")
-    return counts.groupBy(*keys).agg((F.sum(depth * n) / F.sum(n)).alias("mean_depth"), F.percentile(depth, 0.5, n).alias("median_depth"), F.min(depth).alias("min_depth"), F.max(depth).alias("max_depth"))
+    return depth.exon_depth(exons, blocks, keys, ["seqid", "strand"] if stranded else ["seqid"], size)
 
 
 def score_evidence(genes: DataFrame, transcripts: DataFrame, found: DataFrame, blocks: DataFrame | None = None, least_reads: int = 3, least_depth: float = 5, tolerance: int = 10, stranded: bool = True) -> DataFrame:
