@@ -57,6 +57,27 @@ def nearest(introns: DataFrame, junctions: DataFrame, tolerance: int, keys: list
     return introns.join(best, keys, "left")
 
 
+def support(introns: DataFrame, junctions: DataFrame, tolerance: int, keys: list[str], least_reads: int, order: str, size: int = 1 << 9) -> DataFrame:
+    """Per ``keys`` the introns (keys, seqid, intron_start, intron_end), those with ``least_reads`` of their nearest junction and the exact ones.
+
+    As ``last_wins`` and ``nearest`` one after the other, but introns and junctions are dealt
+    out once, by bin: equal junctions, pairs and the choice among them are all inside bins.
+    An intron counts once for its place.
+    """
+    gaps = introns.select(*keys, "seqid", "intron_start", "intron_end").withColumn("__bin", F.floor(F.col("intron_start") / size)).repartition("seqid", "__bin")
+    bins = F.sequence(F.floor((F.col("start") - tolerance) / size), F.floor((F.col("start") + tolerance) / size))
+    found = junctions.select(*KEY, "reads", F.col(order).alias("__ord")).withColumn("__at", F.explode(bins)).repartition("seqid", "__at")
+    last = found.groupBy("seqid", "__at", "start", "end").agg(F.max_by("reads", "__ord").alias("reads"))
+    build = last.select(F.col("seqid").alias("__seqid"), "__at", F.col("start").alias("__start"), F.col("end").alias("__end"), "reads")
+    left, right = F.abs(F.col("intron_start") - F.col("__start")), F.abs(F.col("intron_end") - F.col("__end"))
+    same = (F.col("seqid") == F.col("__seqid")) & (F.col("__bin") == F.col("__at"))
+    met = gaps.join(build.hint("merge"), same & (left <= tolerance) & (right <= tolerance), "left")
+    row = F.when(F.col("__start").isNotNull(), F.struct((left + right).alias("shift"), "__start", "__end", "reads"))
+    best = met.groupBy(*dict.fromkeys([*keys, "seqid", "__bin", "intron_start", "intron_end"])).agg(F.min(row).alias("__b"))
+    reads = F.coalesce(F.col("__b.reads"), F.lit(0))
+    return best.groupBy(*keys).agg(F.count("*").alias("n_introns"), F.count_if(reads >= least_reads).alias("n_introns_supported"), F.count_if(F.col("__b.shift") == 0).alias("n_introns_exact"))
+
+
 def first_match(introns: DataFrame, junctions: DataFrame, tolerance: int, keys: list[str]) -> DataFrame:
     """For each intron the first junction (smallest ``ord``) within the tolerance on its strand or an unknown one.
 

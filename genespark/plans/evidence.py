@@ -135,10 +135,10 @@ def overlap_te_fraction(spark, sf_dir):
 
 def gene_tables(spark, sf_dir):
     """Genes, one transcript each, and aligned blocks: gene % 8 of them at every exon, each cut a little further."""
-    rows = exons(spark, sf_dir).withColumnRenamed("gene", "gene_id")
+    rows = exons(spark, sf_dir).filter("gene IS NOT NULL").withColumnRenamed("gene", "gene_id")
     spans = rows.groupBy("gene_id", "seqid", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("exons"))
     transcripts = spans.withColumns({"line_no": F.lit(0).cast("long"), "transcript_id": F.col("gene_id").cast("string"), "cds": F.array().cast("array<struct<start:bigint,end:bigint,phase:int>>")})
-    # No condition on gene_id alone: below the window of exons it would make their shuffle another one than that of the transcripts.
+    # No other condition on gene_id alone: below the window of exons it would make their shuffle another one than that of the transcripts.
     copies = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(7)))).filter(F.col("k") <= F.coalesce(F.col("gene_id") % 8, F.lit(0)))
     return spans.drop("exons"), transcripts, copies.selectExpr("seqid", "strand", "start + 2 * k AS start", "end + k AS end")
 

@@ -60,10 +60,7 @@ def score_evidence(genes: DataFrame, transcripts: DataFrame, found: DataFrame, b
     exons = exon_rows(primary)
     gaps = intervals.introns(exons.drop("k"), ["gene_id"]).select("gene_id", "seqid", "intron_start", "intron_end")
     placed = found if "ord" in found.columns else found.withColumn("ord", F.monotonically_increasing_id())
-    places = junctions.last_wins(placed, "ord")
-    matched = junctions.nearest(gaps, places, tolerance, ["gene_id", "seqid", "intron_start", "intron_end"])
-    reads = F.coalesce("junction_reads", F.lit(0))
-    support = matched.groupBy("gene_id").agg(F.count("*").alias("n_introns"), F.count_if(reads >= least_reads).alias("n_introns_supported"), F.count_if(F.col("shift") == 0).alias("n_introns_exact"))
+    support = junctions.support(gaps, placed, tolerance, ["gene_id"], least_reads, "ord")
     rows = genes.select("gene_id", "seqid", "strand").join(primary.select("gene_id", "transcript_id"), "gene_id", "left").join(support, "gene_id", "left").na.fill(0, ["n_introns", "n_introns_supported", "n_introns_exact"])
     if blocks is None:
         rows = rows.withColumns({"n_exons": F.lit(0).cast("long"), "n_exons_expressed": F.lit(0).cast("long"), "mean_exon_coverage": F.lit(0.0), "low_ok": F.lit(False), "high_ok": F.lit(False)})

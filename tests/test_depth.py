@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from genespark import runs
-from genespark.operators import depth
-from genespark.plans import tables
+from genespark.operators import depth, junctions
+from genespark.plans import evidence, tables
 
 
 def counted(exons, blocks):
@@ -49,3 +50,27 @@ def test_exon_details_deals_lines_out_once(spark):
     plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     exchanges = [line for line in plan.split("\n") if "- Exchange " in line]
     assert len(exchanges) <= 3, plan  # lines by gene, exons and steps by bin, runs of exons in several bins
+
+
+def test_evidence_run_deals_lines_out_once(spark):
+    found = evidence.evidence_run(spark, "/root/testdata/sf0.001")
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [line for line in plan.split("\n") if "FileScan" in line and "lineitem" in line]
+    assert len(lines) == 1, plan
+
+
+def test_support_equals_nearest_of_the_last_junctions(spark):
+    rng = random.Random(5)
+    introns = [(k % 30, rng.choice("ab"), s := rng.randrange(-100, 1200), s + 60 + k % 7) for k in range(200)] + [(99, None, 5, 70)]
+    found = [(rng.choice("ab"), s := rng.randrange(-100, 1200), s + 60 + k % 9, "+", rng.randrange(6), k) for k in range(400)]
+    found += [(a, s, e, t, 9 - n, n + 1000) for a, s, e, t, n, _ in found[:100]]  # later ones at the same places
+    introns = spark.createDataFrame(sorted(set(introns), key=str), "gene long, seqid string, intron_start long, intron_end long")
+    found = spark.createDataFrame(found, "seqid string, start long, end long, strand string, reads long, ord long").repartition(3)
+    key = ["gene", "seqid", "intron_start", "intron_end"]
+    near = junctions.nearest(introns, junctions.last_wins(found, "ord"), 10, key)
+    reads = F.coalesce("junction_reads", F.lit(0))
+    wanted = near.groupBy("gene").agg(F.count("*"), F.count_if(reads >= 3), F.count_if(F.col("shift") == 0))
+    got = junctions.support(introns, found, 10, ["gene"], 3, "ord", 64)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+    assert sum(r[3] for r in got.collect()) > 0
