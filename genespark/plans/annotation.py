@@ -179,6 +179,12 @@ def scaffolds(spark, sf_dir):
     return table(spark, sf_dir, "supplier").selectExpr("s_name AS seqid", "s_suppkey AS ord", "100000 + s_suppkey * 37 AS length")
 
 
+def ordered_scaffolds(spark, sf_dir):
+    """seqid of the scaffolds that regions and points made from orders lie on (by o_custkey)."""
+    keys = table(spark, sf_dir, "orders").selectExpr("o_custkey % 50 + 1 AS ord").distinct()
+    return scaffolds(spark, sf_dir).join(keys.hint("merge"), "ord", "left_semi").select("seqid")
+
+
 @PLANS.add(f"WITH {CHUNK_SQL} SELECT * FROM ck")
 def fixed_chunks(spark, sf_dir):
     return planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import runs
 from ..functions import regions
 from ..operators import confidence, homology, planning, predictions, report, splice
-from .annotation import HITS, STATUS, hits, scaffolds, statuses
+from .annotation import HITS, STATUS, hits, ordered_scaffolds, scaffolds, statuses
 from .binding import JUNCTIONS, Plans, gene_introns, table
 from .binding import junctions as bound_junctions
 from .signals import PROBS, probabilities
@@ -40,7 +40,7 @@ chunks AS (SELECT seqid, printf('chunk_%04d', row_number() OVER (ORDER BY ord, k
 SELECT region_id, chunk_id, CASE WHEN strand = '+' THEN greatest(rs, low) - low ELSE high - least(re, high) END AS slice_start, CASE WHEN strand = '+' THEN least(re, high) - low ELSE high - greatest(rs, low) END AS slice_end
 FROM r JOIN chunks USING (seqid, strand) WHERE rs < high AND low < re""")
 def chunk_slices(spark, sf_dir):
-    chunks = planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000)
+    chunks = planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000, ordered_scaffolds(spark, sf_dir))
     reverse = F.floor(F.col("start") / 30000) % 2 == 1
     chunks = predictions.chunk_index(chunks.select("seqid", "chunk_id", F.when(reverse, F.col("end")).otherwise(F.col("start")).alias("start"), F.when(reverse, F.col("start")).otherwise(F.col("end")).alias("end")))
     names = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS k", "s_name AS seqid")

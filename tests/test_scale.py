@@ -1,7 +1,12 @@
 """Plans that have to hold on tables much larger than the tests'."""
 
+from collections import Counter
+
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from genespark.operators import planning
 from genespark.plans import pipeline, tables
 
 
@@ -35,3 +40,39 @@ def test_process_chunks_sends_no_chunks_to_the_driver(spark, folder):
     found = tables.process_chunks(spark, folder)
     assert len(broadcasts(found)) <= 1
     assert found.first().n_rows > 0
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, tmp_path_factory):
+    """Scaffolds given three times, of one name under two keys, without a key and without a name."""
+    path = tmp_path_factory.mktemp("repeated")
+    suppliers = [(k, f"S{k % 20}") for k in range(40)] + [(k, f"S{k % 20}") for k in (3, 3, 7)] + [(None, "S4"), (99, None)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string").coalesce(1).write.parquet(f"{path}/supplier.parquet")
+    orders = [(k * 613, k % 90) for k in range(300)] + [(5, None), (None, 3), (-4000, 2)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").coalesce(1).write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def of_sql(sql, folder):
+    with duckdb.connect() as con:
+        for name in ("supplier", "orders"):
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+        return Counter(con.execute(sql).fetchall())
+
+
+def test_chunk_slices_of_repeated_scaffolds(spark, repeated):
+    want = of_sql(pipeline.PLANS.sql["chunk_slices"], repeated)
+    assert len(want) > 300 and Counter(map(tuple, pipeline.chunk_slices(spark, repeated).collect())) == want
+
+
+def test_chunks_of_some_scaffolds_keep_their_numbers(spark):
+    scaffolds = spark.range(200).selectExpr("concat('S', id % 90) AS seqid", "id % 150 AS ord", "1000 + id % 150 * 31 AS length")
+    only = spark.createDataFrame([("S3",), ("S3",), ("S77",), ("T",)], "seqid string")
+    every, some = planning.size_chunks(scaffolds, 300, 100), planning.size_chunks(scaffolds, 300, 100, only)
+    assert sorted(some.collect()) == sorted(every.filter("seqid IN ('S3', 'S77')").collect())
+    assert every.count() == every.select("chunk_id").distinct().count()
+
+
+def test_chunks_are_made_by_several_tasks(spark):
+    scaffolds = spark.range(100).selectExpr("concat('S', id) AS seqid", "id AS ord", "1000 AS length")
+    assert planning.size_chunks(scaffolds, 300, 100).select(F.spark_partition_id()).distinct().count() > 1
