@@ -10,7 +10,7 @@ from ..functions import regions
 from ..operators import confidence, evidence, genes, homology, intervals, junctions, planning, predictions, qc, visual
 from ..sources import interchange, reports, writers
 from . import annotation, evidence as evidence_plans
-from .annotation import CHUNK_SQL, GENES, HITS, STATUS, hits, scaffolds, statuses
+from .annotation import CHUNK_SQL, GENES, HITS, STATUS, hits, ordered_scaffolds, scaffolds, statuses
 from .binding import EXONS, JUNCTIONS, Plans, exons, gene_introns, table
 from .binding import junctions as bound_junctions
 from .evidence import INTRON_KEY, NEAREST, SAMPLES, sample_counts
@@ -406,8 +406,8 @@ def process_chunks(spark, sf_dir):
     def count(chunk_id: str, group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"chunk_id": [chunk_id], "n": [len(group)], "total": [int(group["start"].sum())]})
 
-    gather = lambda found: found.agg(F.count("*").alias("n_chunks"), F.sum("n").alias("n_rows"), F.sum("total").alias("total"))
-    return parallel.process(planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000), rows, count, "chunk_id string, n long, total long", gather)
+    gather = lambda found: found.agg(F.count("*").alias("n_chunks"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.sum("total").alias("total"))
+    return parallel.process(planning.size_chunks(scaffolds(spark, sf_dir), 30000, 10000, ordered_scaffolds(spark, sf_dir)), rows, count, "chunk_id string, n long, total long", gather)
 
 
 @PLANS.add(f"""WITH {EXONS} SELECT gene, s AS start, round(0.7::DOUBLE * least(1.0, ln(1 + rn) / ln(101)) + 0.3::DOUBLE * greatest(0.0, 1 - rn / 15), 6) AS confidence, round(least(1.0, greatest(0.0, 0.5 * (1 - rn / 50) + 0.3 * 0.5 + 0.2 * 0.25)), 6) AS distance FROM exons""")

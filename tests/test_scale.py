@@ -76,3 +76,11 @@ def test_chunks_of_some_scaffolds_keep_their_numbers(spark):
 def test_chunks_are_made_by_several_tasks(spark):
     scaffolds = spark.range(100).selectExpr("concat('S', id) AS seqid", "id AS ord", "1000 AS length")
     assert planning.size_chunks(scaffolds, 300, 100).select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_process_chunks_of_repeated_scaffolds_and_of_no_orders(spark, repeated, tmp_path):
+    sql = tables.PLANS.sql["process_chunks"]
+    assert Counter(map(tuple, tables.process_chunks(spark, repeated).collect())) == of_sql(sql, repeated)
+    spark.read.parquet(f"{repeated}/supplier.parquet").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.read.parquet(f"{repeated}/orders.parquet").limit(0).write.parquet(f"{tmp_path}/orders.parquet")
+    assert Counter(map(tuple, tables.process_chunks(spark, str(tmp_path)).collect())) == of_sql(sql, tmp_path) == {(0, 0, None): 1}
